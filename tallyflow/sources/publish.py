@@ -12,6 +12,7 @@ is gathered by the write job, with no second action over the data.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -52,10 +53,11 @@ def publish(
     before = 0
     if mode == "append":
         before = _existing_rows(df.sparkSession, path, fmt)
-    obs = Observation(f"publish_{name}")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    obs = Observation(f"publish_{name}_{uuid.uuid4().hex[:8]}")
     if partition_cols:
-        observed = observed.hint("rebalance", *partition_cols)
+        df = df.hint("rebalance", *partition_cols)
+    # observed in the write stage itself (above the rebalance exchange)
+    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = observed.write.mode(mode).format(fmt)
     if comment:
         writer = writer.option("comment", comment)

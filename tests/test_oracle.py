@@ -1,0 +1,45 @@
+"""Every registered query against its independent DuckDB SQL (sf0.001)."""
+
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
+
+import __spark_entry__ as E  # noqa: E402
+from oracle_check import digest, duck  # noqa: E402
+
+SF = "/root/testdata/sf0.001"
+ORACLE = E.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def con():
+    return duck(SF)
+
+
+@pytest.mark.parametrize("key", sorted(E.queries()))
+def test_query_matches_oracle(spark, con, key):
+    df = E.queries()[key](spark, SF)
+    rows = [tuple(r) for r in df.collect()]
+    if key not in ORACLE:
+        assert rows, key
+        return
+    cur = con.execute(ORACLE[key])
+    ocols = [d[0] for d in cur.description]
+    orows = cur.fetchall()
+    assert sorted(df.columns) == sorted(ocols)
+    assert len(rows) == len(orows)
+    assert digest(df.columns, rows)[0] == digest(ocols, orows)[0]
+
+
+def test_every_key_has_oracle_or_is_rows_only():
+    missing = set(E.queries()) - set(ORACLE)
+    assert missing == set(E.ROWS_ONLY)
+
+
+def test_entry(spark):
+    df = E.entry(spark)
+    assert df.count() > 0
+    assert sorted(df.columns) == ["captured_count", "currency", "full_date", "gmv"]

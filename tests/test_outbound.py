@@ -1,0 +1,98 @@
+"""Outbound producer contract as table operators."""
+
+import pytest
+from pyspark.sql import types as T
+
+from tallyflow.operators import outbound
+
+SCHEMA = T.StructType(
+    [T.StructField(c, T.StringType()) for c in
+     ("event_id", "merchant_id", "user_id", "amount", "currency", "status", "event_timestamp")]
+)
+VALID = ("evt-1", "m", "u", "9.99", "USD", "captured", "2026-07-14T12:00:00")
+
+
+def _df(spark, *changes, schema=SCHEMA):
+    rows = []
+    for ch in changes:
+        r = dict(zip(SCHEMA.fieldNames(), VALID))
+        r.update(ch)
+        rows.append(tuple(r.get(n) for n in schema.fieldNames()))
+    return spark.createDataFrame(rows, schema)
+
+
+@pytest.mark.parametrize("amount", ["0", "-1", "NaN", "Infinity", "0.001", "1e100", "12.345", "1e17"])
+def test_rejected_amounts(spark, amount):
+    (r,) = outbound.contract_violations(_df(spark, {"amount": amount})).collect()
+    assert r.contract_reasons, amount
+
+
+@pytest.mark.parametrize("amount", ["9999999999999999.99", "12.300", "25.5", "0.01"])
+def test_accepted_amounts(spark, amount):
+    (r,) = outbound.contract_violations(_df(spark, {"amount": amount})).collect()
+    assert r.contract_reasons == []
+
+
+def test_specific_reasons(spark):
+    got = {
+        r.event_id: r.contract_reasons
+        for r in outbound.contract_violations(
+            _df(spark,
+                {"event_id": "a", "amount": "0.001"},
+                {"event_id": "b", "currency": "usdx"},
+                {"event_id": "c", "status": "CAPTURED"},
+                {"event_id": "d", "merchant_id": None, "user_id": ""},
+                {"event_id": "e", "amount": "1e17"},
+                {"event_id": "f", "event_timestamp": "banana"})
+        ).collect()
+    }
+    assert got == {
+        "a": ["amount_too_many_decimals"],
+        "b": ["invalid_currency_length"],
+        "c": ["invalid_status"],
+        "d": ["missing_merchant_id"],
+        "e": ["amount_too_many_digits"],
+        "f": ["invalid_event_timestamp"],
+    }
+
+
+def test_legacy_amount_forbidden(spark):
+    schema = T.StructType(SCHEMA.fields + [T.StructField("amount_usd", T.DoubleType())])
+    df = spark.createDataFrame([VALID + (1.0,)], schema)
+    (r,) = outbound.contract_violations(df).collect()
+    assert r.contract_reasons == ["legacy_amount_usd"]
+
+
+def test_normalize_defaults_and_utc(spark):
+    schema = T.StructType(SCHEMA.fields + [T.StructField("country", T.StringType())])
+    df = spark.createDataFrame(
+        [("e1", "m", "u", "25.5", "usd", "captured", "2026-07-14T12:00:00", None),
+         ("e2", "m", "u", "1.00", None, "failed", "2026-07-14T12:00:00+02:00", "BR"),
+         (None, "m", "u", "1.00", "EUR", "failed", None, None)],
+        schema,
+    )
+    rows = {r.event_id_generated and "gen" or r.event_id: r for r in outbound.normalize_contract(df).collect()}
+    assert rows["e1"].currency == "USD" and rows["e1"].schema_version == 3
+    assert rows["e1"].ingest_source == "payment_gateway"
+    assert str(rows["e1"].event_timestamp) == "2026-07-14 12:00:00"
+    assert rows["e2"].currency == "USD" and str(rows["e2"].event_timestamp) == "2026-07-14 10:00:00"
+    gen = rows["gen"]
+    assert len(gen.event_id) == 36 and gen.event_timestamp is not None and gen.event_timestamp_generated
+    lines = {r.event_id: r.line for r in outbound.to_ndjson(outbound.normalize_contract(df)).collect()}
+    assert lines["e1"] == (
+        '{"event_id":"e1","merchant_id":"m","user_id":"u","amount":"25.5","currency":"USD",'
+        '"status":"captured","event_timestamp":"2026-07-14T12:00:00Z","schema_version":3,'
+        '"ingest_source":"payment_gateway"}'
+    )
+    assert lines["e2"].endswith('"ingest_source":"payment_gateway","country":"BR"}')
+
+
+def test_oversize_and_routing(spark):
+    lines = spark.createDataFrame(
+        [("a", "m1", "x" * (1024 * 1024 - 1)), ("b", "m1", "x" * (1024 * 1024)), ("c", "m2", "{}")],
+        "event_id string, merchant_id string, line string",
+    )
+    got = {r.event_id: (r.line_bytes, r.is_oversize) for r in outbound.oversize_events(lines).collect()}
+    assert got == {"a": (1048576, False), "b": (1048577, True), "c": (3, False)}
+    routed = outbound.route_by_merchant(lines, 2)
+    assert routed.rdd.getNumPartitions() <= 2 and routed.count() == 3
