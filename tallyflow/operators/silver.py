@@ -11,7 +11,7 @@ third of all rows still reaches the reducer as one row per map task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -91,15 +91,27 @@ def silver_rules() -> list[tuple[str, Column]]:
     return [(name, predicates[name]) for name in domain.SILVER_REASONS]
 
 
-def with_reasons(bronze: DataFrame) -> DataFrame:
+def with_reasons(bronze: DataFrame, quality: Observation | None = None) -> DataFrame:
     """P9 + P6: typed rows with ``rejection_reasons`` and event-day parts.
-    This is the shared (temporary) view under both silver tables."""
+    This is the shared (temporary) view under both silver tables.
+
+    The view carries a data-quality observation (rows in, rows rejected,
+    gathered by whichever action runs first, no extra job). It also keeps
+    the ``accepted``/``rejected`` filters above the projection: without it
+    Catalyst pushes ``size(rejection_reasons)`` below the projections with
+    every alias inlined, and each rule (regexes, timestamp parse, decimal
+    cast) would be evaluated twice per row."""
     t = typed(bronze)
-    return t.select(
+    validated = t.select(
         "*",
         C.reasons(silver_rules()).alias("rejection_reasons"),
         *C.date_parts("event_timestamp_utc"),
     )
+    return validated.observe(
+        quality if quality is not None else Observation(),
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.size("rejection_reasons") > 0).alias("rejected"),
+    )
 
 
 def rejected(validated: DataFrame) -> DataFrame:

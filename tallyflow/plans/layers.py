@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from tallyflow.operators import gold, silver
 from tallyflow.session import use_utc
@@ -26,6 +26,7 @@ class Layers:
     daily: DataFrame
     fact: DataFrame
     fact_rejected: DataFrame
+    quality: Observation
 
     @property
     def all_payments(self) -> DataFrame:
@@ -33,7 +34,8 @@ class Layers:
 
 
 def derive(bronze: DataFrame) -> Layers:
-    validated = silver.with_reasons(bronze)
+    quality = Observation()
+    validated = silver.with_reasons(bronze, quality)
     silver_df = silver.project_silver(silver.dedup(silver.accepted(validated)))
     daily = gold.daily(silver_df)
     return Layers(
@@ -44,6 +46,7 @@ def derive(bronze: DataFrame) -> Layers:
         daily=daily,
         fact=gold.fact_payments(daily),
         fact_rejected=gold.fact_payments_rejected(daily),
+        quality=quality,
     )
 
 

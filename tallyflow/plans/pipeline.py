@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from tallyflow.operators import dims, gold, silver
 from tallyflow.session import use_utc
@@ -51,6 +51,7 @@ class Warehouse:
     root: str
     fmt: str = "parquet"
     schemas: dict = field(default_factory=dict)
+    quality: dict = field(default_factory=dict)
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -78,8 +79,10 @@ def publish_downstream(spark: SparkSession, wh: Warehouse) -> list[pub.WriteMetr
     """Silver, quarantine, facts and dimensions from the bronze table."""
     use_utc(spark)
     out = []
-    validated = silver.with_reasons(wh.read(spark, "bronze_payments"))
+    quality = Observation()
+    validated = silver.with_reasons(wh.read(spark, "bronze_payments"), quality)
     out.append(wh.write(silver.rejected(validated), "silver_payments_rejected"))
+    wh.quality = dict(quality.get)
     out.append(
         wh.write(
             silver.project_silver(silver.dedup(silver.accepted(validated))),

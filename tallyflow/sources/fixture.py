@@ -44,7 +44,19 @@ def _case(key: Column, pairs, default=None) -> Column:
 
 
 def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Scan-parallelism guard. A source stored as one unsplittable file (one
+    Parquet row group, one GZIP file) scans in a single task, and every narrow
+    step up to the first shuffle would inherit that. Only then is it spread
+    round-robin over the cluster's cores; a large source already scans in
+    thousands of splits and passes through untouched (no extra shuffle)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() * 2 <= cores:
+        return df.repartition(cores)
+    return df
 
 
 def payments_bronze(events: DataFrame, with_delivery: bool = False) -> DataFrame:
