@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from tallyflow.operators import dims, gold, silver
-from tallyflow.session import use_utc
+from tallyflow.session import path_exists, use_utc
 from tallyflow.sources import publish as pub
 from tallyflow.streaming import bronze as bronze_stream
 from tallyflow.streaming import metrics as stream_metrics
@@ -127,7 +127,6 @@ def run_from_raw(
 
 
 def _count_or_zero(spark: SparkSession, wh: Warehouse, name: str) -> int:
-    try:
-        return spark.read.format(wh.fmt).load(wh.path(name)).count()
-    except Exception:
+    if not path_exists(spark, wh.path(name)):
         return 0
+    return spark.read.format(wh.fmt).load(wh.path(name)).count()

@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyflow.session import path_exists
+
 
 @dataclass(frozen=True)
 class WriteMetrics:
@@ -69,10 +71,10 @@ def publish(
 
 
 def _existing_rows(spark: SparkSession, path: str, fmt: str) -> int:
-    try:
-        return spark.read.format(fmt).load(path).count()
-    except Exception:  # nothing written yet
+    """Rows already in an append table (a footer-only count for Parquet)."""
+    if not path_exists(spark, path):
         return 0
+    return spark.read.format(fmt).load(path).count()
 
 
 def read_published(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet"):
