@@ -81,8 +81,16 @@ def daily_band(c: str | Column = "amount") -> Column:
 def reasons(rules: list[tuple[str, Column]]) -> Column:
     """Array of the names of every rule whose predicate is true, in rule order.
     A null predicate counts as not violated (``when(null)`` is null and is
-    compacted away)."""
-    return F.array_compact(F.array(*[F.when(p, F.lit(n)) for n, p in rules]))
+    dropped).
+
+    Nulls are dropped with ``array_except(.., [null])`` rather than
+    ``array_compact``/``filter``: those are lambda (higher-order) functions
+    without code generation, and one of them in the rule projection would pull
+    the whole projection (regexes, casts, timestamp parsing) out of
+    whole-stage codegen. Rule names are distinct, so the set semantics of
+    ``array_except`` change nothing; it keeps the first array's order."""
+    flagged = F.array(*[F.when(p, F.lit(n)) for n, p in rules])
+    return F.array_except(flagged, F.array(F.lit(None).cast("string")))
 
 
 def full_date(year="year", month="month", day="day") -> Column:
