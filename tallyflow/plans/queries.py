@@ -50,8 +50,7 @@ def _layers(spark: SparkSession, sf_dir: str) -> Layers:
 
 
 def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    use_utc(spark)
-    return fixture.bronze_from_dir(spark, sf_dir)
+    return from_testdata(spark, sf_dir).bronze
 
 
 # --- P1-P6: typed columns over every bronze row ---------------------------------
