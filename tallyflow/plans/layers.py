@@ -61,7 +61,10 @@ def from_testdata(spark: SparkSession, sf_dir: str) -> Layers:
     client round trips and an analysis pass per step, independent of data
     size. Execution is never shared: every action re-reads the inputs."""
     use_utc(spark)
-    key = (spark._jsparkSession.hashCode(), sf_dir)
+    try:
+        key = (spark._jsparkSession.hashCode(), sf_dir)
+    except AttributeError:  # not a classic session
+        key = (id(spark), sf_dir)
     layers = _BUILT.get(key)
     if layers is None:
         layers = derive(fixture.bronze_from_dir(spark, sf_dir))

@@ -53,8 +53,12 @@ def spread(df: DataFrame) -> DataFrame:
     step up to the first shuffle would inherit that. Only then is it spread
     round-robin over the cluster's cores; a large source already scans in
     thousands of splits and passes through untouched (no extra shuffle)."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 2 <= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a Connect session): leave as is
+        return df
+    if parts * 2 <= cores:
         return df.repartition(cores)
     return df
 
