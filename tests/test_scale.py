@@ -27,6 +27,10 @@ def test_gold_day_slice_prunes_partitions(spark):
     assert "PushedFilters: [IsNotNull(status), EqualTo(status,captured)]" in plan
     expected = marts.top_merchants_gmv(from_testdata(spark, SF).fact).where("full_date = '2024-01-05'")
     assert sorted(map(tuple, q.collect())) == sorted(map(tuple, expected.collect()))
+    # unparseable times are quarantined into the null day partition and read back as null
+    rej = wh.read(spark, "silver_payments_rejected")
+    no_day = rej.where("year IS NULL").count()
+    assert no_day == rej.where("event_timestamp_utc IS NULL").count() > 0
 
 
 def test_raw_explore_prunes_delivery_folders(spark):
