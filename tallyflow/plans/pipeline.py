@@ -74,6 +74,17 @@ class Warehouse:
             return spark.read.format(self.fmt).load(self.path(name))
         return pub.read_published(spark, self.path(name), schema, self.fmt)
 
+    def register_views(self, spark: SparkSession, names=None) -> list[str]:
+        """Expose published tables under their names (S11), so analyst SQL
+        (``SELECT ... FROM fact_payments f LEFT JOIN dim_country c ...``) runs
+        through ``spark.sql`` unchanged; partition filters still prune folders."""
+        done = []
+        for name in names or TABLE_PARTITIONS:
+            if path_exists(spark, self.path(name)):
+                self.read(spark, name).createOrReplaceTempView(name)
+                done.append(name)
+        return done
+
 
 def publish_downstream(spark: SparkSession, wh: Warehouse) -> list[pub.WriteMetrics]:
     """Silver, quarantine, facts and dimensions from the bronze table."""
