@@ -62,9 +62,10 @@ def dim_date(
         )
     )
     d = F.col("calendar_date")
-    month_end = d == F.last_day(d)
+    iso_weekday = F.weekday(d) + 1  # Spark weekday(): Monday=0 .. Sunday=6
+    last_of_month = d == F.last_day(d)
     return days.select(
-        F.date_format(d, "yyyyMMdd").cast("int").alias("date_key"),
+        (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).alias("date_key"),
         F.date_format(d, "yyyy-MM-dd").alias("full_date"),
         d,
         F.year(d).alias("year"),
@@ -72,15 +73,14 @@ def dim_date(
         F.month(d).alias("month"),
         F.date_format(d, "MMMM").alias("month_name"),
         F.date_format(d, "yyyy-MM").alias("year_month"),
-        F.weekofyear(d).alias("week_of_year"),
+        F.weekofyear(d).alias("week_of_year"),  # ISO-8601 week
         F.dayofmonth(d).alias("day_of_month"),
-        # Sunday=1..Saturday=7 shifted to ISO Monday=1..Sunday=7
-        (((F.dayofweek(d) + 5) % 7) + 1).cast("int").alias("day_of_week"),
+        iso_weekday.alias("day_of_week"),
         F.date_format(d, "EEEE").alias("day_name"),
-        F.dayofweek(d).isin(1, 7).alias("is_weekend"),
-        month_end.alias("is_month_end"),
-        (F.month(d).isin(3, 6, 9, 12) & month_end).alias("is_quarter_end"),
-        (F.date_format(d, "MM-dd") == F.lit("12-31")).alias("is_year_end"),
+        (iso_weekday >= 6).alias("is_weekend"),
+        last_of_month.alias("is_month_end"),
+        (last_of_month & (F.month(d) % 3 == 0)).alias("is_quarter_end"),
+        ((F.month(d) == 12) & (F.dayofmonth(d) == 31)).alias("is_year_end"),
     )
 
 
