@@ -34,6 +34,9 @@ def build_session(
         # small outputs (gold, a day of silver) keep several writer tasks
         # instead of being coalesced into one; large stages are unaffected
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256KB")
+        # file: paths only (tests, single machine): skip client-side .crc
+        # sidecar files; HDFS and object stores never use this class
+        .config("spark.hadoop.fs.file.impl", "org.apache.hadoop.fs.RawLocalFileSystem")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
