@@ -50,7 +50,7 @@ def derive(bronze: DataFrame) -> Layers:
     )
 
 
-_BUILT: dict[tuple[int, str], Layers] = {}
+_BUILT: dict[tuple[int, str], tuple[SparkSession, Layers]] = {}
 
 
 def from_testdata(spark: SparkSession, sf_dir: str) -> Layers:
@@ -61,12 +61,10 @@ def from_testdata(spark: SparkSession, sf_dir: str) -> Layers:
     client round trips and an analysis pass per step, independent of data
     size. Execution is never shared: every action re-reads the inputs."""
     use_utc(spark)
-    try:
-        key = (spark._jsparkSession.hashCode(), sf_dir)
-    except AttributeError:  # not a classic session
-        key = (id(spark), sf_dir)
-    layers = _BUILT.get(key)
-    if layers is None:
-        layers = derive(fixture.bronze_from_dir(spark, sf_dir))
-        _BUILT[key] = layers
+    key = (id(spark), sf_dir)
+    hit = _BUILT.get(key)
+    if hit is not None and hit[0] is spark:
+        return hit[1]
+    layers = derive(fixture.bronze_from_dir(spark, sf_dir))
+    _BUILT[key] = (spark, layers)
     return layers
