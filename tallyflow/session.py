@@ -47,6 +47,29 @@ def build_session(
     return spark
 
 
+MiB = 1024 * 1024
+
+
+def scale_settings(input_bytes: int, partition_bytes: int = 256 * MiB) -> dict[str, str]:
+    """Partition sizing for a run over ``input_bytes`` of bronze.
+
+    The widest shuffle (silver dedup) carries about the whole validated row
+    set, so it starts with one partition per ``partition_bytes`` of input and
+    AQE coalesces from there; scans split files at the same size. At 100 TB
+    that is ~400k initial shuffle partitions of ~256 MiB, each well inside
+    one executor core's memory, and ~400k scan tasks.
+    """
+    parts = max(200, -(-input_bytes // partition_bytes))
+    size = f"{partition_bytes // MiB}m"
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    }
+
+
 def use_utc(spark: SparkSession) -> SparkSession:
     """Pin the session zone to UTC (the pipeline contract) and return the session."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -40,3 +40,12 @@ def test_bounded_broadcast(spark):
     assert "broadcast" in plan.lower()
     small = dims.bounded_broadcast(dims.dim_status(spark), rows=10**9, bound=10)
     assert "broadcast" not in small._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_scale_settings():
+    from tallyflow.session import scale_settings
+
+    big = scale_settings(100 * 1024**4)
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600
+    assert big["spark.sql.files.maxPartitionBytes"] == "256m"
+    assert scale_settings(10)["spark.sql.shuffle.partitions"] == "200"
