@@ -50,22 +50,26 @@ def build_session(
 MiB = 1024 * 1024
 
 
-def scale_settings(input_bytes: int, partition_bytes: int = 256 * MiB) -> dict[str, str]:
+def scale_settings(
+    input_bytes: int,
+    scan_bytes: int = 512 * MiB,
+    shuffle_bytes: int = 2048 * MiB,
+) -> dict[str, str]:
     """Partition sizing for a run over ``input_bytes`` of bronze.
 
-    The widest shuffle (silver dedup) carries about the whole validated row
-    set, so it starts with one partition per ``partition_bytes`` of input and
-    AQE coalesces from there; scans split files at the same size. At 100 TB
-    that is ~400k initial shuffle partitions of ~256 MiB, each well inside
-    one executor core's memory, and ~400k scan tasks.
+    Scans split at ``scan_bytes`` (M map tasks); the widest shuffle (silver
+    dedup, about the whole validated row set) gets one reducer per
+    ``shuffle_bytes`` (R), sorted with spill, and AQE coalesces small ones.
+    Keeping R well below M bounds the M x R shuffle blocks the driver tracks:
+    at 100 TB, M ~ 200k and R ~ 51k (compressed map statuses of a few KB per
+    map task) instead of 400k x 400k with uniform 256 MiB partitions.
     """
-    parts = max(200, -(-input_bytes // partition_bytes))
-    size = f"{partition_bytes // MiB}m"
+    reducers = max(200, -(-input_bytes // shuffle_bytes))
     return {
-        "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
-        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.shuffle.partitions": str(reducers),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(reducers),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{shuffle_bytes // (2 * MiB)}m",
+        "spark.sql.files.maxPartitionBytes": f"{scan_bytes // MiB}m",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     }
 

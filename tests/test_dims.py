@@ -46,6 +46,7 @@ def test_scale_settings():
     from tallyflow.session import scale_settings
 
     big = scale_settings(100 * 1024**4)
-    assert int(big["spark.sql.shuffle.partitions"]) == 409600
-    assert big["spark.sql.files.maxPartitionBytes"] == "256m"
+    assert int(big["spark.sql.shuffle.partitions"]) == 51200
+    assert big["spark.sql.files.maxPartitionBytes"] == "512m"
+    assert big["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == "1024m"
     assert scale_settings(10)["spark.sql.shuffle.partitions"] == "200"
