@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tallyflow.functions import columns as C
 from tallyflow.functions import domain
 
+# --- fixed values: stored fact columns, in order ------------------------------
 FACT_COLUMNS = (
     "full_date",
     "year",

@@ -35,7 +35,7 @@ CONTRACT_REASONS = (
     "legacy_amount_usd",
 )
 
-# Producer field order of the serialised event; extras follow.
+# --- fixed values: producer field order of the serialised event; extras follow
 CORE_FIELDS = (
     "event_id",
     "merchant_id",

@@ -18,9 +18,9 @@ from pyspark.sql.window import Window
 from tallyflow.functions import columns as C
 from tallyflow.functions import domain
 
+# --- fixed values: dedup key, tie-break payload fields (in order), stored silver columns
 DEDUP_KEY = ("event_id", "merchant_id")
 
-# Fields of the canonical payload that breaks equal-time ties, in order.
 TIE_BREAK_FIELDS = (
     "user_id",
     "amount_decimal",
@@ -32,7 +32,6 @@ TIE_BREAK_FIELDS = (
     "event_timestamp",
 )
 
-# Final silver projection (P13), in stored order.
 SILVER_COLUMNS = (
     "event_id",
     "merchant_id",
