@@ -17,12 +17,13 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyflow.sources import raw
 from tallyflow.streaming import metrics
-from tallyflow.sources.schema import bronze_read_schema
+from tallyflow.sources.schema import BRONZE_COLUMNS, bronze_read_schema
 
 
 def bronze_stream(
@@ -30,13 +31,36 @@ def bronze_stream(
     raw_root: str,
     definition=None,
     max_files_per_trigger: int | None = 1000,
+    spread_partitions: int | None = None,
 ) -> DataFrame:
     """S1 + S3 + S4: stream raw JSON with the registry-derived schema, every
     folder below the root (``recursiveFileLookup``: the delivery folders are
-    not turned into columns), plus the source file, in stored order."""
+    not turned into columns), plus the source file, in stored order.
+
+    GZIP files cannot be split, so one huge file is read by one task. The
+    landing bounds file sizes, but for a source that delivers one file with a
+    large share of all rows, ``spread_partitions`` reads lines as text,
+    spreads them round-robin and parses them with ``from_json`` there: only
+    the decompression stays in one task. Off by default (it adds a shuffle)."""
+    schema = bronze_read_schema(definition)
+    if spread_partitions:
+        reader = spark.readStream.format("text").option("recursiveFileLookup", "true")
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+        lines = reader.load(raw_root).select(
+            "value", F.col("_metadata.file_path").alias("_file")
+        )
+        parsed = lines.repartition(spread_partitions).select(
+            F.from_json("value", schema).alias("j"), "_file"
+        )
+        fields = [
+            F.col("_file").alias(c) if c == "source_file" else F.col(f"j.{c}").alias(c)
+            for c in BRONZE_COLUMNS
+        ]
+        return parsed.select(*fields)
     reader = (
         spark.readStream.format("json")
-        .schema(bronze_read_schema(definition))
+        .schema(schema)
         .option("recursiveFileLookup", "true")
     )
     if max_files_per_trigger:

@@ -156,3 +156,21 @@ def test_pipeline_from_raw_twice(spark):
     assert m2["silver_payments"].total_records == 1 and m2["dim_date"].total_records == 4018
     fact = wh.read(spark, "fact_payments").collect()
     assert len(fact) == 1 and fact[0].full_date == "2026-09-19" and fact[0].country == "unknown"
+
+
+def test_spread_parse_matches_json_source(spark):
+    work = scratch_path(spark, "spread")
+    root = _local(f"{work}/raw")
+    extra = dict(EXAMPLE_LINES[0], schema_version=3, source_file="spoof")
+    _write_gz(root, "big.json.gz", [json.dumps(x) for x in EXAMPLE_LINES] + ["{not json", json.dumps(extra)])
+    outs = []
+    for i, spread in enumerate((None, 4)):
+        q = bronze_streaming.append_bronze(
+            bronze_streaming.bronze_stream(spark, root, spread_partitions=spread),
+            f"{work}/bronze{i}", f"{work}/ckpt{i}")
+        assert metrics.added_rows(q) == 4
+        t = spark.read.parquet(f"{work}/bronze{i}")
+        assert tuple(t.columns) == BRONZE_COLUMNS
+        outs.append(sorted((tuple(r) for r in t.collect()), key=repr))
+    assert outs[0] == outs[1]
+    assert sum(1 for r in outs[1] if r[0] is None) == 1  # the malformed line, all null
