@@ -58,10 +58,35 @@ def bronze_projection(raw: DataFrame) -> DataFrame:
     )
 
 
-def read_bronze_batch(spark: SparkSession, path: str, definition=None) -> DataFrame:
+def parse_lines(lines: DataFrame, schema, spread_partitions: int | None = None) -> DataFrame:
+    """Text lines (``value``, ``_file``) -> bronze columns via ``from_json``,
+    after spreading them round-robin when ``spread_partitions`` is given (so
+    one unsplittable GZIP file is parsed by many tasks). A malformed line
+    becomes an all-null row, as with the JSON source."""
+    if spread_partitions:
+        lines = lines.repartition(spread_partitions)
+    parsed = lines.select(F.from_json("value", schema).alias("j"), "_file")
+    return parsed.select(
+        *[
+            F.col("_file").alias(c) if c == "source_file" else F.col(f"j.{c}").alias(c)
+            for c in BRONZE_COLUMNS
+        ]
+    )
+
+
+def read_bronze_batch(
+    spark: SparkSession, path: str, definition=None, spread_partitions: int | None = None
+) -> DataFrame:
     """Read raw JSON with the registry-derived schema (no inference):
     legacy numeric ``amount_usd`` and v3 string ``amount`` side by side.
     A malformed line becomes an all-null row, as in the stream."""
+    if spread_partitions:
+        lines = (
+            spark.read.option("recursiveFileLookup", "true")
+            .text(path)
+            .select("value", F.col("_metadata.file_path").alias("_file"))
+        )
+        return parse_lines(lines, bronze_read_schema(definition), spread_partitions)
     reader = (
         spark.read.schema(bronze_read_schema(definition))
         .option("recursiveFileLookup", "true")

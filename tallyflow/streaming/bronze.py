@@ -23,7 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallyflow.sources import raw
 from tallyflow.streaming import metrics
-from tallyflow.sources.schema import BRONZE_COLUMNS, bronze_read_schema
+from tallyflow.sources.schema import bronze_read_schema
 
 
 def bronze_stream(
@@ -50,14 +50,7 @@ def bronze_stream(
         lines = reader.load(raw_root).select(
             "value", F.col("_metadata.file_path").alias("_file")
         )
-        parsed = lines.repartition(spread_partitions).select(
-            F.from_json("value", schema).alias("j"), "_file"
-        )
-        fields = [
-            F.col("_file").alias(c) if c == "source_file" else F.col(f"j.{c}").alias(c)
-            for c in BRONZE_COLUMNS
-        ]
-        return parsed.select(*fields)
+        return raw.parse_lines(lines, schema, spread_partitions)
     reader = (
         spark.readStream.format("json")
         .schema(schema)

@@ -174,3 +174,13 @@ def test_spread_parse_matches_json_source(spark):
         outs.append(sorted((tuple(r) for r in t.collect()), key=repr))
     assert outs[0] == outs[1]
     assert sum(1 for r in outs[1] if r[0] is None) == 1  # the malformed line, all null
+
+
+def test_spread_batch_read_matches(spark):
+    root = _local(scratch_path(spark, "spread_batch"))
+    _write_gz(root, "big.json.gz", [json.dumps(x) for x in EXAMPLE_LINES] + ["{not json"])
+    a = raw.read_bronze_batch(spark, root)
+    b = raw.read_bronze_batch(spark, root, spread_partitions=4)
+    assert tuple(b.columns) == BRONZE_COLUMNS
+    key = lambda rows: sorted((tuple(r) for r in rows), key=repr)
+    assert key(a.collect()) == key(b.collect())
