@@ -91,12 +91,21 @@ def land_stream(
     checkpoint: str,
     line: str = "line",
     delivered_at: str = "delivered_at",
+    salt_buckets: int = 4,
 ) -> StreamingQuery:
     """S8 (stream): GZIP NDJSON into ``year=/month=/day=/hour=`` folders of the
-    delivery time, exactly-once through the checkpoint."""
+    delivery time, exactly-once through the checkpoint.
+
+    Micro-batches run without AQE, so each batch is hash-partitioned on the
+    folder columns plus a salt of ``salt_buckets`` values: every writer task
+    touches few folders (no file per task and hour), and a hot hour is split
+    across up to ``salt_buckets`` writers instead of one."""
+    framed = raw.landing_frame(lines, line, delivered_at)
+    salt = F.pmod(F.xxhash64("value"), F.lit(salt_buckets))
+    parts = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = framed.repartition(parts, *raw.LANDING_PARTITIONS, salt)
     query = (
-        raw.landing_frame(lines, line, delivered_at)
-        .writeStream.format("text")
+        spread.writeStream.format("text")
         .outputMode("append")
         .partitionBy(*raw.LANDING_PARTITIONS)
         .option("compression", "gzip")
