@@ -78,3 +78,18 @@ def test_flows_run_in_declared_order(spark):
     (fact,) = outputs["fact_payments"].collect()
     assert (fact.full_date, fact.country, fact.amount_band) == ("2026-09-19", "unknown", "small")
     assert outputs["dim_date"].count() == 4018
+
+
+def test_example_spec_is_well_formed():
+    """The spec uses only the documented fields (name and storage required)."""
+    from pathlib import Path
+
+    import pytest
+
+    yaml = pytest.importorskip("yaml")
+    root = Path(__file__).resolve().parent.parent
+    spec = yaml.safe_load((root / "examples" / "payments-pipeline" / "spark-pipeline.yml").read_text())
+    allowed = {"name", "storage", "catalog", "database", "schema", "configuration", "libraries"}
+    assert set(spec) <= allowed and {"name", "storage"} <= set(spec)
+    assert all(isinstance(k, str) and isinstance(v, str) for k, v in spec["configuration"].items())
+    assert [lib["glob"]["include"] for lib in spec["libraries"]] == ["transformations/**"]
