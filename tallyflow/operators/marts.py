@@ -155,3 +155,16 @@ def fact_with_status(spark: SparkSession, facts: DataFrame) -> DataFrame:
     """J2 as a star join: fact rows with every payment-status attribute."""
     status = dims.status_for_join(spark)
     return facts.join(status, facts["status"] == status["status_code"], "left")
+
+
+def dimension_usage(dim: DataFrame, facts: DataFrame, dim_key: str, fact_key: str) -> DataFrame:
+    """S12/S13/D1 checked against the data: every dimension row with all its
+    attributes and ``fact_rows``, the number of fact rows that reference it
+    (0 when none). The facts are pre-aggregated per key before the join, so
+    only one row per key (bounded by the dimension) meets the dimension."""
+    used = facts.groupBy(F.col(fact_key).alias("_key")).agg(F.count(F.lit(1)).alias("fact_rows"))
+    joined = dim.join(used, dim[dim_key] == used["_key"], "left")
+    return joined.select(
+        *[dim[c] for c in dim.columns],
+        F.coalesce(F.col("fact_rows"), F.lit(0)).alias("fact_rows"),
+    )

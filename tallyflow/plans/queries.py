@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyflow.functions import columns as C
-from tallyflow.operators import gold, marts, outbound, silver
+from tallyflow.operators import dims, gold, marts, outbound, silver
 from tallyflow.plans import pipeline
 from tallyflow.plans.layers import Layers, from_testdata
 from tallyflow.session import scratch_path, use_utc
@@ -210,6 +210,24 @@ def q_fact_with_status(spark, sf_dir):
     return conform(marts.fact_with_status(spark, _layers(spark, sf_dir).all_payments))
 
 
+def q_dim_status(spark, sf_dir):
+    """The status dimension with its use by both facts."""
+    facts = _layers(spark, sf_dir).all_payments
+    return marts.dimension_usage(dims.dim_status(spark), facts, "status_code", "status")
+
+
+def q_dim_country(spark, sf_dir):
+    """The country dimension with its use by both facts."""
+    facts = _layers(spark, sf_dir).all_payments
+    return marts.dimension_usage(dims.dim_country(spark), facts, "country_code", "country")
+
+
+def q_dim_date(spark, sf_dir):
+    """S14 + D1: the calendar with its use by both facts."""
+    facts = _layers(spark, sf_dir).all_payments
+    return marts.dimension_usage(dims.dim_date(spark), facts, "full_date", "full_date")
+
+
 # --- C1-C5: outbound contract -------------------------------------------------------
 
 
@@ -382,6 +400,9 @@ _QUERIES: dict[str, Query] = {
     "fact_with_calendar": q_fact_with_calendar,
     "fact_with_country": q_fact_with_country,
     "fact_with_status": q_fact_with_status,
+    "dim_status": q_dim_status,
+    "dim_country": q_dim_country,
+    "dim_date": q_dim_date,
     # outbound contract
     "contract_violations": q_contract_violations,
     "contract_normalize": q_contract_normalize,
