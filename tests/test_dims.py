@@ -50,3 +50,20 @@ def test_scale_settings():
     assert big["spark.sql.files.maxPartitionBytes"] == "512m"
     assert big["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == "1024m"
     assert scale_settings(10)["spark.sql.shuffle.partitions"] == "200"
+
+
+def test_dimension_usage_counts(spark):
+    from tallyflow.operators import marts
+
+    facts = spark.createDataFrame(
+        [("captured", "BR"), ("captured", "FR"), ("failed", "unknown"), ("captured", "BR")],
+        "status string, country string",
+    )
+    by_status = {r.status_code: r.fact_rows
+                 for r in marts.dimension_usage(dims.dim_status(spark), facts, "status_code", "status").collect()}
+    assert by_status == {"authorized": 0, "captured": 3, "failed": 1, "refunded": 0}
+    by_country = marts.dimension_usage(dims.dim_country(spark), facts, "country_code", "country")
+    rows = {r.country_code: r for r in by_country.collect()}
+    assert len(rows) == 8 and "FR" not in rows  # unmapped codes add no member
+    assert rows["BR"].fact_rows == 2 and rows["unknown"].fact_rows == 1 and rows["US"].fact_rows == 0
+    assert rows["BR"].country_name == "Brazil"
