@@ -40,14 +40,26 @@ COUNTRY_SCHEMA = T.StructType(
 )
 
 
+def literal_relation(spark: SparkSession, rows, schema: T.StructType) -> DataFrame:
+    """A small literal table built on the JVM side: typed struct literals,
+    inlined over a one-row range. Unlike ``createDataFrame`` from a Python
+    list (a pickled Python RDD), it needs no Python worker to read and folds
+    into the plan as constants. Column names and types follow ``schema``."""
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)])
+        for row in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def dim_status(spark: SparkSession) -> DataFrame:
     """Payment statuses; only captured counts toward GMV."""
-    return spark.createDataFrame(list(domain.STATUS_REFERENCE), schema=STATUS_SCHEMA)
+    return literal_relation(spark, domain.STATUS_REFERENCE, STATUS_SCHEMA)
 
 
 def dim_country(spark: SparkSession) -> DataFrame:
     """Merchant countries plus the ``unknown`` member (null alpha-3)."""
-    return spark.createDataFrame(list(domain.COUNTRY_REFERENCE), schema=COUNTRY_SCHEMA)
+    return literal_relation(spark, domain.COUNTRY_REFERENCE, COUNTRY_SCHEMA)
 
 
 def dim_date(
