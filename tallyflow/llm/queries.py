@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyflow.llm import bpe
+from tallyflow.llm import bpe, neardup
 from tallyflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,11 +27,16 @@ def tokenizer_source(name: str = TOKENIZER) -> str:
         return file.read()
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80)
+
+
 def op9_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), tokenizer_source())
 
 
 QUERIES: dict[str, Query] = {
+    "op5_minhash": op5_minhash,
     "op9_bpe_trie": op9_bpe_trie,
 }
 
