@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyflow.llm import bpe, neardup
+from tallyflow.llm import bpe, linededup, neardup
 from tallyflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,12 @@ def tokenizer_source(name: str = TOKENIZER) -> str:
         return file.read()
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, text without the later copies, n_lines, n_removed."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linededup.drop_repeated_lines(docs)
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80)
 
@@ -36,6 +42,7 @@ def op9_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_line_dedup": op3_line_dedup,
     "op5_minhash": op5_minhash,
     "op9_bpe_trie": op9_bpe_trie,
 }
