@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyflow.llm import bpe, linededup, neardup
-from tallyflow.llm.common import table
+from tallyflow.llm import bpe, langid, linededup, neardup
+from tallyflow.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +37,12 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80)
 
 
+def op8_lang_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs.select("doc_id", "text"), langid.learn(docs))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op9_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), tokenizer_source())
 
@@ -44,6 +50,7 @@ def op9_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op3_line_dedup": op3_line_dedup,
     "op5_minhash": op5_minhash,
+    "op8_lang_zstd": op8_lang_zstd,
     "op9_bpe_trie": op9_bpe_trie,
 }
 
