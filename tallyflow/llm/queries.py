@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyflow.llm import bpe, langid, linededup, neardup
+from tallyflow.llm import bpe, decontam, langid, linededup, neardup
 from tallyflow.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,10 @@ def tokenizer_source(name: str = TOKENIZER) -> str:
         return file.read()
 
 
+def op1_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, text without the later copies, n_lines, n_removed."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -48,6 +52,7 @@ def op9_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_spaced_seeds": op1_spaced_seeds,
     "op3_line_dedup": op3_line_dedup,
     "op5_minhash": op5_minhash,
     "op8_lang_zstd": op8_lang_zstd,
