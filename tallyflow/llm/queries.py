@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyflow.llm import bpe, decontam, langid, linededup, neardup
+from tallyflow.llm import bpe, decontam, langid, linededup, neardup, toxicity
 from tallyflow.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,12 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.drop_repeated_lines(docs)
 
 
+def op4_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scores = toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+    return scores.select("doc_id", held_out().alias("held_out"), "score", "predicted", "llr")
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80)
 
@@ -54,6 +60,7 @@ def op9_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_spaced_seeds": op1_spaced_seeds,
     "op3_line_dedup": op3_line_dedup,
+    "op4_kneser_ney": op4_kneser_ney,
     "op5_minhash": op5_minhash,
     "op8_lang_zstd": op8_lang_zstd,
     "op9_bpe_trie": op9_bpe_trie,
