@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyflow.llm import bpe, decontam, langid, linededup, neardup, toxicity
+from tallyflow.llm import bpe, decontam, langid, linededup, neardup, pii, secret_scan, spans, toxicity
 from tallyflow.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,14 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80)
 
 
+def op6_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans.digest(pii.personal_data(table(spark, sf_dir, "documents")), pii.BASE)
+
+
+def op7_aho_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans.digest(secret_scan.secrets(table(spark, sf_dir, "documents")), secret_scan.BASE)
+
+
 def op8_lang_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = langid.identify(docs.select("doc_id", "text"), langid.learn(docs))
@@ -62,6 +70,8 @@ QUERIES: dict[str, Query] = {
     "op3_line_dedup": op3_line_dedup,
     "op4_kneser_ney": op4_kneser_ney,
     "op5_minhash": op5_minhash,
+    "op6_crf_pii": op6_crf_pii,
+    "op7_aho_secrets": op7_aho_secrets,
     "op8_lang_zstd": op8_lang_zstd,
     "op9_bpe_trie": op9_bpe_trie,
 }
