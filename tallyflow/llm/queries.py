@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyflow.llm import bpe, decontam, langid, linededup, neardup, pii, secret_scan, spans, toxicity
+from tallyflow.llm import bpe, decontam, langid, license_scan, linededup, neardup, pii, search, secret_scan, spans, toxicity
 from tallyflow.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,10 @@ def op1_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_license_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.licenses(table(spark, sf_dir, "documents"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, text without the later copies, n_lines, n_removed."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -65,8 +69,15 @@ def op9_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), tokenizer_source())
 
 
+def op10_bm25_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every document whose id is divisible by 50."""
+    docs = table(spark, sf_dir, "documents")
+    return search.search(docs, docs.where("doc_id % 50 = 0").select(F.col("doc_id").alias("query_id"), "text"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_spaced_seeds": op1_spaced_seeds,
+    "op2_license_zstd": op2_license_zstd,
     "op3_line_dedup": op3_line_dedup,
     "op4_kneser_ney": op4_kneser_ney,
     "op5_minhash": op5_minhash,
@@ -74,6 +85,7 @@ QUERIES: dict[str, Query] = {
     "op7_aho_secrets": op7_aho_secrets,
     "op8_lang_zstd": op8_lang_zstd,
     "op9_bpe_trie": op9_bpe_trie,
+    "op10_bm25_wand": op10_bm25_wand,
 }
 
 ORACLE: dict[str, str] = {}
