@@ -8,6 +8,11 @@ among those wholly inside it is a fingerprint. So no repeat shorter than
 ``window_words`` words that repeats has a common fingerprint: winnowing's two
 thresholds, in words, since lines differ in length.
 
+A common gram alone may have its first place in an unrelated text and agree with it
+for less than the repeated run. So the windows themselves, from each line on and up
+to each line, are fingerprints too: a repeated run of ``window_words`` words or more
+goes as a whole, since windows inside it cover all its lines.
+
 Every fingerprint is joined with the first place (doc_id, line) of its hash. The
 match is extended by equal lines both ways, and the later run is deleted. A
 deleted line always has an equal earlier line, so the first copy of everything
@@ -61,30 +66,38 @@ def run_ends(words: list[int], least: int) -> list[int]:
 
 
 def fingerprints(text: str, gram_words: int, window_words: int) -> list[tuple[int, int]]:
-    """(hash, first line) of the selected grams."""
+    """(hash, first line) of the windows and of the grams selected from them."""
     words = word_counts(text)
     grams = run_ends(words, gram_words)
     if grams[0] < 0:
         return []
     hashes = line_hashes(text).tobytes()
-    value = [xxhash.xxh3_64_intdigest(hashes[8 * i : 8 * end]) - (1 << 63) if end > 0 else None for i, end in enumerate(grams)]
+
+    def value(start: int, end: int) -> int:
+        return xxhash.xxh3_64_intdigest(hashes[8 * start : 8 * end]) - (1 << 63)
+
     windows = run_ends(words, window_words)
     if windows[0] < 0:  # shorter than a window: the whole text is one
         windows[0] = len(words)
+    gram_values = [value(i, end) if end > 0 else None for i, end in enumerate(grams)]
     chosen, inside, entered = set(), deque(), 0  # inside: grams of the window, values rising
     for start, end in enumerate(windows):
         if end < 0:
             break
+        chosen.add((start, end))
         while entered < len(grams) and 0 < grams[entered] <= end:
-            while inside and value[inside[-1]] >= value[entered]:
+            while inside and gram_values[inside[-1]] >= gram_values[entered]:
                 inside.pop()
             inside.append(entered)
             entered += 1
         while inside and inside[0] < start:
             inside.popleft()
         if inside:
-            chosen.add(inside[0])
-    return [(value[i], i) for i in sorted(chosen)]
+            chosen.add((inside[0], grams[inside[0]]))
+    for i, end in enumerate(run_ends(words[::-1], window_words)):  # windows up to each line
+        if end > 0:
+            chosen.add((len(words) - end, len(words) - i))
+    return [(value(start, end), start) for start, end in sorted(chosen)]
 
 
 def matched_lines(lines: np.ndarray, at: int, first: np.ndarray, first_at: int) -> tuple[int, int]:
