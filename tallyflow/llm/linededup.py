@@ -177,7 +177,8 @@ def drop_repeated_lines(docs: DataFrame, gram_words: int = GRAM_WORDS, window_wo
     runs = runs.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("runs").alias("__runs"))
     # a document's runs, by the hash of the text they belong to: doc_id alone decides the partition
     runs = runs.groupBy("__id").agg(F.collect_list(F.struct("__hash", "__runs")).alias("__runs"))
-    joined = docs.join(runs, docs["doc_id"].cast("long") == runs["__id"], "left").drop("__id")
+    # sorted and merged at every size: the runs grow with the documents
+    joined = docs.join(runs.hint("merge"), docs["doc_id"].cast("long") == runs["__id"], "left").drop("__id")
     schema = T.StructType([*docs.schema.fields, T.StructField("n_lines", T.IntegerType()), T.StructField("n_removed", T.IntegerType())])
     arrow = to_arrow_schema(schema)
     place = docs.columns.index("text")
