@@ -84,7 +84,7 @@ def main() -> None:
     # batch pipeline: every layer published
     def publish():
         wh = pipeline.Warehouse(scratch_path(spark, "bench_wh"))
-        pipeline.publish_all(spark, fixture.bronze_from_dir(spark, SF_DIR), wh)
+        pipeline.publish_all(spark, fixture.bronze_from_dir(spark, SF_DIR), wh, "bench")
         return wh
 
     results["publish_all"], wh = timed(publish, runs=max(1, RUNS - 1))

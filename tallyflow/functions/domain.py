@@ -15,21 +15,6 @@ FAILED_STATUS = "failed"
 CAPTURED_STATUS = "captured"
 UNKNOWN_COUNTRY = "unknown"
 
-# --- fixed values: silver rejection reasons, in the order they are reported ---
-SILVER_REASONS = (
-    "missing_event_id",
-    "missing_merchant_id",
-    "missing_user_id",
-    "missing_amount",
-    "invalid_amount",
-    "amount_decimal_non_positive",
-    "missing_status",
-    "invalid_status",
-    "invalid_currency",
-    "missing_event_timestamp",
-    "invalid_event_timestamp",
-)
-
 # --- fixed values: amount bands (upper bounds are exclusive) ------------------
 EVENT_BANDS = ((10, "micro"), (50, "small"), (100, "medium"))
 EVENT_BAND_TOP = "large"
@@ -76,5 +61,6 @@ CALENDAR_END = "2030-12-31"
 # --- fixed values: outbound producer contract --------------------------------
 CONTRACT_SCHEMA_VERSION = 3
 CONTRACT_INGEST_SOURCE = "payment_gateway"
-CONTRACT_AMOUNT_WHOLE_DIGITS = 16  # 18 digits in total, 2 after the point
+CONTRACT_AMOUNT_WHOLE_DIGITS = 16  # 18 digits in total
+CONTRACT_AMOUNT_PLACES = 2  # after the point
 MAX_RECORD_BYTES = 1024 * 1024  # one record, newline included

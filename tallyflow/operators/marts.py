@@ -46,16 +46,17 @@ def top_merchants_gmv(
 
 def failure_rate(
     fact: DataFrame,
-    fact_rejected: DataFrame,
+    fact_rejected: DataFrame | None,
     full_date: str | None = None,
     min_events: int = 5,
     ordered: bool = False,
 ) -> DataFrame:
     """A2 + A4: failed share of all payments per merchant, day, currency, for
-    groups with at least ``min_events`` events (reads both facts, O3)."""
+    groups with at least ``min_events`` events. Reads both facts (O3), or ``fact``
+    alone if it holds all payments already (``fact_rejected`` is None)."""
     failed = F.when(F.col("status") == domain.FAILED_STATUS, F.col("txn_count"))
     out = (
-        _on_day(gold.all_payments(fact, fact_rejected), full_date)
+        _on_day(fact if fact_rejected is None else gold.all_payments(fact, fact_rejected), full_date)
         .groupBy("merchant_id", "full_date", "currency")
         .agg(
             F.sum("txn_count").alias("event_count"),
@@ -116,7 +117,7 @@ def rejection_counts(rejected: DataFrame, ordered: bool = False) -> DataFrame:
         .groupBy("reason")
         .agg(F.count(F.lit(1)).alias("rejected_rows"))
     )
-    return out.orderBy(F.col("rejected_rows").desc()) if ordered else out
+    return out.orderBy(F.col("rejected_rows").desc(), "reason") if ordered else out
 
 
 def gmv_by_revenue_status(spark: SparkSession, fact: DataFrame) -> DataFrame:

@@ -13,28 +13,12 @@ C5 ``route_by_merchant``     co-locate each merchant's events before landing
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallyflow.functions import columns as C
 from tallyflow.functions import domain
 
-# --- fixed values: contract reasons, in reporting order -------------------------
-CONTRACT_REASONS = (
-    "missing_merchant_id",
-    "missing_user_id",
-    "missing_amount",
-    "invalid_amount",
-    "amount_not_positive",
-    "amount_too_many_digits",
-    "amount_too_many_decimals",
-    "invalid_currency_length",
-    "invalid_status",
-    "invalid_event_timestamp",
-    "unsupported_schema_version",
-    "legacy_amount_usd",
-)
-
 # --- fixed values: producer field order of the serialised event; extras follow
 CORE_FIELDS = (
     "event_id",
@@ -71,34 +55,53 @@ def with_contract_columns(events: DataFrame) -> DataFrame:
     )
 
 
+NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+
+
+def amount_digits(text: Column) -> dict[str, Column]:
+    """What the digits of a number's text say, without ever rounding it:
+    ``number`` (it is one), ``zero``, ``negative``, ``whole`` (digits before the
+    point) and ``places`` (after it, trailing zeros not counted). An exponent
+    moves the point; one beyond the integer range counts as its sign's extreme."""
+    number = F.coalesce(text.rlike(NUMBER), F.lit(False))
+    mantissa = F.regexp_extract(text, r"^[+-]?([0-9.]*)", 1)
+    exponent_text = F.regexp_extract(text, r"[eE]([+-]?[0-9]+)$", 1)
+    far = F.when(exponent_text.startswith("-"), F.lit(-1_000_000)).otherwise(F.lit(1_000_000))
+    exponent = F.when(exponent_text == "", F.lit(0)).otherwise(F.coalesce(exponent_text.try_cast("int"), far))
+    exponent = F.greatest(F.least(exponent, F.lit(1_000_000)), F.lit(-1_000_000))
+    fraction = F.regexp_extract(mantissa, r"\.([0-9]*)$", 1)
+    digits = F.regexp_replace(mantissa, r"\.", "")
+    shown = F.regexp_replace(digits, "0+$", "")  # without trailing zeros
+    scale = F.length(fraction) - exponent - (F.length(digits) - F.length(shown))
+    significant = F.length(F.regexp_replace(shown, "^0+", ""))
+    return {
+        "number": number,
+        "zero": shown == "",
+        "negative": text.startswith("-"),
+        "whole": F.greatest(significant - scale, F.lit(0)),
+        "places": F.greatest(scale, F.lit(0)),
+    }
+
+
 def contract_rules() -> list[tuple[str, Column]]:
+    """The contract's rules in reporting order, over the amount's digits in ``_d``."""
     amount = F.col("amount").cast("string")
-    as_double = amount.try_cast("double")
-    exact = amount.try_cast("decimal(38,18)")
-    finite = as_double.isNotNull() & ~F.isnan(as_double) & (
-        F.abs(as_double) != F.lit(float("inf"))
-    )
-    whole_limit = F.lit(10**domain.CONTRACT_AMOUNT_WHOLE_DIGITS).cast("decimal(38,18)")
-    predicates = {
-        "missing_merchant_id": F.col("merchant_id").isNull(),
-        "missing_user_id": F.col("user_id").isNull(),
-        "missing_amount": amount.isNull(),
-        "invalid_amount": amount.isNotNull() & ~finite,
-        "amount_not_positive": finite & (as_double <= 0),
-        "amount_too_many_digits": finite
-        & (exact.isNull() | (F.abs(exact) >= whole_limit)),
-        "amount_too_many_decimals": exact.isNotNull() & (exact != F.round(exact, 2)),
-        "invalid_currency_length": F.col("currency").isNotNull()
-        & (F.length("currency") != 3),
-        "invalid_status": F.col("status").isNull()
-        | ~F.col("status").isin(*domain.VALID_STATUSES),
-        "invalid_event_timestamp": F.col("event_timestamp").isNotNull()
-        & C.event_time_utc("event_timestamp").isNull(),
-        "unsupported_schema_version": F.col("schema_version")
-        < domain.CONTRACT_SCHEMA_VERSION,
-        "legacy_amount_usd": F.col("amount_usd").isNotNull(),
-    }
-    return [(name, predicates[name]) for name in CONTRACT_REASONS]
+    d = {name: F.col(f"_d.{name}") for name in ("number", "zero", "negative", "whole", "places")}
+    counted = d["number"] & ~d["zero"]
+    return [
+        ("missing_merchant_id", F.col("merchant_id").isNull()),
+        ("missing_user_id", F.col("user_id").isNull()),
+        ("missing_amount", amount.isNull()),
+        ("invalid_amount", amount.isNotNull() & ~d["number"]),
+        ("amount_not_positive", d["number"] & (d["zero"] | d["negative"])),
+        ("amount_too_many_digits", counted & (d["whole"] > domain.CONTRACT_AMOUNT_WHOLE_DIGITS)),
+        ("amount_too_many_decimals", counted & (d["places"] > domain.CONTRACT_AMOUNT_PLACES)),
+        ("invalid_currency_length", F.col("currency").isNotNull() & (F.length("currency") != 3)),
+        ("invalid_status", F.col("status").isNull() | ~F.col("status").isin(*domain.VALID_STATUSES)),
+        ("invalid_event_timestamp", F.col("event_timestamp").isNotNull() & C.event_time_utc("event_timestamp").isNull()),
+        ("unsupported_schema_version", F.col("schema_version") < domain.CONTRACT_SCHEMA_VERSION),
+        ("legacy_amount_usd", F.col("amount_usd").isNotNull()),
+    ]
 
 
 def contract_violations(events: DataFrame) -> DataFrame:
@@ -107,7 +110,13 @@ def contract_violations(events: DataFrame) -> DataFrame:
     rounded, beyond 16 whole or 2 fractional digits; the status is exact-case;
     ``amount_usd`` is forbidden."""
     e = with_contract_columns(events)
-    return e.select("*", C.reasons(contract_rules()).alias("contract_reasons"))
+    columns = e.columns
+    digits = amount_digits(F.col("amount").cast("string"))
+    e = e.withColumn("_d", F.struct(*(c.alias(n) for n, c in digits.items())))
+    e = e.select(*columns, C.reasons(contract_rules()).alias("contract_reasons"))
+    # as in silver: the observation keeps later filters above the rules, which would
+    # otherwise be worked out once for each reference to them
+    return e.observe(Observation(), F.count(F.lit(1)).alias("rows"))
 
 
 def normalize_contract(events: DataFrame, fill_defaults: bool = True) -> DataFrame:

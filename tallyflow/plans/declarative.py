@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyflow.operators import dims, gold, silver
 from tallyflow.plans.pipeline import TABLE_COMMENTS, TABLE_PARTITIONS
+from tallyflow.sources.tables import TABLES
 from tallyflow.streaming import bronze as bronze_streaming
 
 
@@ -36,6 +37,10 @@ def _parts(name: str) -> list[str] | None:
     return list(cols) if cols else None
 
 
+def _props(name: str) -> dict[str, str]:
+    return dict(TABLES[name].properties)
+
+
 def declare(
     spark: SparkSession,
     raw_root: str,
@@ -45,7 +50,11 @@ def declare(
     """Register every dataset and flow of the graph in the active pipeline."""
 
     dp.create_streaming_table(
-        "bronze_payments", comment=TABLE_COMMENTS["bronze_payments"], format=fmt
+        "bronze_payments",
+        comment=TABLE_COMMENTS["bronze_payments"],
+        table_properties=_props("bronze_payments"),
+        schema=TABLES["bronze_payments"].schema,
+        format=fmt,
     )
 
     @dp.append_flow(target="bronze_payments", name="ingest_bronze")
@@ -59,6 +68,7 @@ def declare(
     @dp.materialized_view(
         name="silver_payments_rejected",
         comment=TABLE_COMMENTS["silver_payments_rejected"],
+        table_properties=_props("silver_payments_rejected"),
         partition_cols=_parts("silver_payments_rejected"),
         format=fmt,
     )
@@ -68,6 +78,7 @@ def declare(
     @dp.materialized_view(
         name="silver_payments",
         comment=TABLE_COMMENTS["silver_payments"],
+        table_properties=_props("silver_payments"),
         partition_cols=_parts("silver_payments"),
         format=fmt,
     )
@@ -82,6 +93,7 @@ def declare(
     @dp.materialized_view(
         name="fact_payments",
         comment=TABLE_COMMENTS["fact_payments"],
+        table_properties=_props("fact_payments"),
         partition_cols=_parts("fact_payments"),
         format=fmt,
     )
@@ -91,20 +103,27 @@ def declare(
     @dp.materialized_view(
         name="fact_payments_rejected",
         comment=TABLE_COMMENTS["fact_payments_rejected"],
+        table_properties=_props("fact_payments_rejected"),
         partition_cols=_parts("fact_payments_rejected"),
         format=fmt,
     )
     def fact_payments_rejected() -> DataFrame:
         return gold.fact_payments_rejected(spark.table("fact_payments_temp"))
 
-    @dp.materialized_view(name="dim_status", comment=TABLE_COMMENTS["dim_status"], format=fmt)
+    @dp.materialized_view(
+        name="dim_status", comment=TABLE_COMMENTS["dim_status"], table_properties=_props("dim_status"), format=fmt
+    )
     def dim_status() -> DataFrame:
         return dims.dim_status(spark)
 
-    @dp.materialized_view(name="dim_country", comment=TABLE_COMMENTS["dim_country"], format=fmt)
+    @dp.materialized_view(
+        name="dim_country", comment=TABLE_COMMENTS["dim_country"], table_properties=_props("dim_country"), format=fmt
+    )
     def dim_country() -> DataFrame:
         return dims.dim_country(spark)
 
-    @dp.materialized_view(name="dim_date", comment=TABLE_COMMENTS["dim_date"], format=fmt)
+    @dp.materialized_view(
+        name="dim_date", comment=TABLE_COMMENTS["dim_date"], table_properties=_props("dim_date"), format=fmt
+    )
     def dim_date() -> DataFrame:
         return dims.dim_date(spark)

@@ -15,6 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from tallyflow.functions import columns as C
 from tallyflow.operators import dims, gold, marts, outbound, silver
@@ -23,8 +24,8 @@ from tallyflow.plans.layers import Layers, from_testdata
 from tallyflow.session import scratch_path, use_utc
 from tallyflow.sources import fixture, publish, raw
 from tallyflow.sources.schema import BRONZE_COLUMNS
+from tallyflow.sources.tables import TABLES
 from tallyflow.streaming import bronze as bronze_streaming
-from tallyflow.streaming import metrics as stream_metrics
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -171,8 +172,7 @@ def q_top_merchants_gmv(spark, sf_dir):
 
 def q_failure_rate(spark, sf_dir):
     """A2 + A4."""
-    L = _layers(spark, sf_dir)
-    return conform(marts.failure_rate(L.fact, L.fact_rejected))
+    return conform(marts.failure_rate(_layers(spark, sf_dir).all_payments, None))
 
 
 def q_captured_by_country(spark, sf_dir):
@@ -232,8 +232,8 @@ def q_dim_date(spark, sf_dir):
 
 
 def _outbound_input(spark, sf_dir):
-    """Outbound candidates: the bronze rows as a producer would receive them."""
-    return _bronze(spark, sf_dir).drop("source_file")
+    use_utc(spark)
+    return fixture.outbound_from_dir(spark, sf_dir)
 
 
 def q_contract_violations(spark, sf_dir):
@@ -264,11 +264,17 @@ def q_oversize_events(spark, sf_dir):
 
 
 def q_route_by_merchant(spark, sf_dir):
-    """Lines range-partitioned by merchant; ``shard`` is the partition."""
-    lines = _ndjson(spark, sf_dir)
+    """Per merchant its events and whether they lie in one run of partitions."""
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    routed = outbound.route_by_merchant(lines, parts)
-    return routed.withColumn("shard", F.spark_partition_id())
+    routed = outbound.route_by_merchant(_ndjson(spark, sf_dir), parts).withColumn("p", F.spark_partition_id())
+    # the largest and smallest id of each merchant and partition: no other merchant's
+    # partition may lie between, and ids must rise with the partitions
+    runs = routed.groupBy("merchant_id", "p").agg(F.count("*").alias("n"), F.min("event_id").alias("low"), F.max("event_id").alias("high"))
+    before = F.lag("high").over(Window.partitionBy("merchant_id").orderBy("p"))
+    runs = runs.withColumn("rising", F.coalesce(before <= F.col("low"), F.lit(True)))
+    return runs.groupBy("merchant_id").agg(
+        F.sum("n").alias("events"), ((F.max("p") - F.min("p") + 1 == F.count("*")) & F.bool_and("rising")).alias("contiguous")
+    )
 
 
 # --- S1-S9, S16: files, streams, publishing ---------------------------------------------
@@ -315,15 +321,11 @@ def q_raw_explore(spark, sf_dir):
 def _stream_bronze_once(spark, sf_dir, runs: int):
     work = scratch_path(spark, "bronze_stream")
     root = _land_fixture(spark, sf_dir, f"{work}/raw")
-    added = []
+    table, added = f"{work}/bronze_payments", []
     for _ in range(runs):
-        q = bronze_streaming.append_bronze(
-            bronze_streaming.bronze_stream(spark, root),
-            f"{work}/bronze_payments",
-            f"{work}/_checkpoint",
-        )
-        added.append(stream_metrics.added_rows(q))
-    return spark.read.parquet(f"{work}/bronze_payments"), added
+        stream = bronze_streaming.bronze_stream(spark, root)
+        added.append(bronze_streaming.append_bronze(stream, table, f"{work}/_checkpoint")[0])
+    return bronze_streaming.read_bronze(spark, table, TABLES["bronze_payments"].schema), added
 
 
 def _with_landing_hour(bronze: DataFrame) -> DataFrame:
@@ -352,10 +354,56 @@ def q_bronze_append(spark, sf_dir):
 
 
 def _published(spark, sf_dir):
+    """A published warehouse, opened anew as another process would."""
     use_utc(spark)
-    wh = pipeline.Warehouse(scratch_path(spark, "warehouse"))
-    metrics = pipeline.publish_all(spark, _bronze(spark, sf_dir), wh)
-    return wh, metrics
+    root = scratch_path(spark, "warehouse")
+    metrics = pipeline.publish_all(spark, _bronze(spark, sf_dir), pipeline.Warehouse(root), run_id="events")
+    return pipeline.Warehouse(root), metrics
+
+
+def _read_back(name: str) -> Query:
+    def run(spark, sf_dir):
+        return conform(_published(spark, sf_dir)[0].read(spark, name))
+
+    run.__name__ = f"q_published_{name}"
+    run.__doc__ = f"S9 + S11: ``{name}`` read back with its declared types and order."
+    return run
+
+
+def q_named_views(spark, sf_dir):
+    """S10 + S11: SQL over the published tables by name, and over a temporary view."""
+    wh, _ = _published(spark, sf_dir)
+    wh.register_views(spark)
+    silver.with_reasons(wh.read(spark, "bronze_payments")).createOrReplaceTempView("silver_payments_temp")
+    return conform(
+        spark.sql(
+            """SELECT f.full_date, s.status_name, count(*) AS n_facts, sum(f.txn_count) AS n_events,
+                      (SELECT count(*) FROM silver_payments_temp) AS n_bronze
+               FROM fact_payments f JOIN dim_status s ON f.status = s.status_code
+               GROUP BY f.full_date, s.status_name"""
+        )
+    )
+
+
+
+SLICE_DAY = "2024-01-05"
+
+
+def q_day_slices(spark, sf_dir):
+    """One day and one status of every layer that is sliced by them."""
+    L = _layers(spark, sf_dir)
+    top = marts.top_merchants_gmv(L.fact, full_date=SLICE_DAY).select(F.lit("top").alias("part"), "merchant_id", "currency", F.col("captured_count").alias("n"))
+    rate = marts.failure_rate(L.all_payments, None, full_date=SLICE_DAY).select(F.lit("rate"), "merchant_id", "currency", "event_count")
+    users = marts.distinct_captured_users(L.silver, day=tuple(SLICE_DAY.split("-"))).select(F.lit("users"), F.lit(None).cast("string"), "currency", "unique_users")
+    return conform(top.union(rate).union(users))
+
+
+def q_ordered_report(spark, sf_dir):
+    """O2: the reason report in its presentation order, with each row's place (at
+    most one row for each rule, so one task numbers them)."""
+    L = _layers(spark, sf_dir)
+    report = marts.rejection_counts(L.rejected, ordered=True).withColumn("_at", F.monotonically_increasing_id())
+    return report.withColumn("place", F.row_number().over(Window.orderBy("_at"))).drop("_at")
 
 
 def q_publish_mv(spark, sf_dir):
@@ -416,6 +464,10 @@ _QUERIES: dict[str, Query] = {
     "bronze_stream": q_bronze_stream,
     "bronze_append": q_bronze_append,
     "publish_mv": q_publish_mv,
+    **{f"published_{n}": _read_back(n) for n in ("silver_payments", "silver_payments_rejected", "fact_payments_rejected", "dim_date")},
+    "named_views": q_named_views,
+    "day_slices": q_day_slices,
+    "ordered_report": q_ordered_report,
     "write_metrics": q_write_metrics,
 }
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -13,7 +15,8 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 def build_session(
     master: str = "local[*]",
     app_name: str = "tallyflow",
-    shuffle_partitions: int = 8,
+    shuffle_partitions: int | None = None,
+    input_bytes: int | None = None,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
     """Classic session with the settings every job here assumes.
@@ -21,26 +24,25 @@ def build_session(
     UTC is mandatory: zone-less event times are read in the session zone and
     the silver day partitions are rendered from it. AQE stays on so shuffle
     partition counts adapt at runtime and skewed partitions are split.
+    ``input_bytes`` sizes scans and shuffles for a run (``scale_settings``);
+    ``shuffle_partitions`` is for tests and small runs and wins over it.
     """
     builder = (
         SparkSession.builder.master(master)
         .appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.ansi.enabled", "true")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        # small outputs (gold, a day of silver) keep several writer tasks
-        # instead of being coalesced into one; large stages are unaffected
-        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256KB")
-        # file: paths only (tests, single machine): skip client-side .crc
-        # sidecar files; HDFS and object stores never use this class
-        .config("spark.hadoop.fs.file.impl", "org.apache.hadoop.fs.RawLocalFileSystem")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
-    for key, value in (extra or {}).items():
+    sizing = scale_settings(input_bytes) if input_bytes else {}
+    if shuffle_partitions:
+        sizing["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+        sizing.pop("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    for key, value in {**sizing, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -74,6 +76,21 @@ def scale_settings(
     }
 
 
+@contextmanager
+def sized_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """Sizing for a run over ``input_bytes``; the session's own values come back after.
+    Inputs below a gigabyte keep the session's values."""
+    wanted = scale_settings(input_bytes) if input_bytes >= 1024 * MiB else {}
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def use_utc(spark: SparkSession) -> SparkSession:
     """Pin the session zone to UTC (the pipeline contract) and return the session."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -109,9 +126,50 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/tallyflow/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists on its file system (local, HDFS, object store)."""
+def _file(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(p.getFileSystem(conf).exists(p))
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on its file system (local, HDFS, object store)."""
+    fs, p = _file(spark, path)
+    return bool(fs.exists(p))
+
+
+def is_file(spark: SparkSession, path: str) -> bool:
+    fs, p = _file(spark, path)
+    return bool(fs.exists(p)) and bool(fs.getFileStatus(p).isFile())
+
+
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes below ``path``; 0 where it doesn't exist."""
+    fs, p = _file(spark, path)
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small control file's text."""
+    fs, p = _file(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a small control file: written aside, then renamed over the old one."""
+    fs, p = _file(spark, path)
+    aside = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex[:8]}")
+    stream = fs.create(aside, True)
+    stream.write(text.encode())
+    stream.close()
+    fs.delete(p, False)
+    fs.rename(aside, p)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p = _file(spark, path)
+    fs.delete(p, True)

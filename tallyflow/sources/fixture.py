@@ -44,23 +44,7 @@ def _case(key: Column, pairs, default=None) -> Column:
 
 
 def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Scan-parallelism guard. A source stored as one unsplittable file (one
-    Parquet row group, one GZIP file) scans in a single task, and every narrow
-    step up to the first shuffle would inherit that. Only then is it spread
-    round-robin over the cluster's cores; a large source already scans in
-    thousands of splits and passes through untouched (no extra shuffle)."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a Connect session): leave as is
-        return df
-    if parts * 2 <= cores:
-        return df.repartition(cores)
-    return df
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
 def payments_bronze(events: DataFrame, with_delivery: bool = False) -> DataFrame:
@@ -87,7 +71,8 @@ def payments_bronze(events: DataFrame, with_delivery: bool = False) -> DataFrame
         _case(n % 7, list(enumerate(CURRENCY_BY_MOD7))).alias("cur"),
         _case(F.col("event_type"), STATUS_BY_EVENT_TYPE, STATUS_OTHER).alias("st"),
         F.replace(F.col("ts").cast("string"), F.lit(" "), F.lit("T")).alias("t0"),
-        F.when(n % 41 == 0, "FR")
+        F.when(n % 200 == 33, "")
+        .when(n % 41 == 0, "FR")
         .when(n % 3 == 0, F.lit(None).cast("string"))
         .otherwise(_case(n % 7, list(enumerate(COUNTRY_BY_MOD7))))
         .alias("country"),
@@ -173,3 +158,19 @@ def payments_bronze(events: DataFrame, with_delivery: bool = False) -> DataFrame
 
 def bronze_from_dir(spark: SparkSession, sf_dir: str, with_delivery: bool = False):
     return payments_bronze(load_events(spark, sf_dir), with_delivery=with_delivery)
+
+
+def outbound_from_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outbound candidates: the bronze rows as a producer would receive them, with
+    some amounts, users and versions that only the producer contract tells apart."""
+    m200 = F.regexp_extract("event_id", "([0-9]+)$", 1).try_cast("int") % 200
+    amount = F.when(m200 == 35, "1.0000000000000000001").when(m200 == 36, "12345678901234567").when(m200 == 39, "1e-3")
+    amount = amount.when(m200 == 40, "0.0000000000000000000001").when(m200 == 41, "1.10e1").when(m200 == 42, "0.00e5")
+    bronze = bronze_from_dir(spark, sf_dir).drop("source_file")
+    return bronze.withColumns(
+        {
+            "amount": amount.otherwise(F.col("amount")),
+            "user_id": F.when(m200 == 38, F.lit(None)).otherwise(F.col("user_id")),
+            "schema_version": F.when(m200 == 37, 2).when(m200 == 43, 3),
+        }
+    )

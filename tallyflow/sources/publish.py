@@ -1,13 +1,19 @@
 """S9 + S16: publish full-recompute tables and report what each write did.
 
-``publish`` overwrites a table (Parquet by default; ``fmt`` may name any
-installed table format) partitioned as declared. Before the write the rows
-are ``rebalance``d on the partition columns: AQE splits a hot day into
-several writers and coalesces quiet ones, so each output folder gets a few
-well-sized files instead of one per upstream task.
-
-Metrics come from ``DataFrame.observe`` on the written plan itself: the count
-is gathered by the write job, with no second action over the data.
+``publish`` writes a table (Parquet by default; ``fmt`` may name any installed
+table format) into a fresh version folder and then switches the table's pointer to
+it: a failed write leaves the published version as it was, and no session setting
+(dynamic partition overwrite) can keep rows that left the result. Before the write
+the rows are ``rebalance``d on the partition columns: AQE splits a hot day into
+several writers and coalesces quiet ones.
+
+Folder names can't hold an empty string, so partition values that may be blank are
+encoded on the way out and decoded on the way in (``encode`` / ``decode``); a filter on the
+decoded column still prunes folders. Reads use the declared schema and stored
+column order.
+
+Metrics come from ``DataFrame.observe`` on the written plan itself: the count is
+gathered by the write job, with no second action over the data.
 """
 
 from __future__ import annotations
@@ -15,11 +21,16 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyflow.session import path_exists
+from tallyflow.session import path_exists, read_text, remove, write_text
+
+POINTER = "_CURRENT"
+MARK = "="
+#: what a folder name turns into null (a fixed value of the folder layout)
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 @dataclass(frozen=True)
@@ -38,50 +49,68 @@ METRICS_SCHEMA = T.StructType(
 )
 
 
+def encode(value: Column) -> Column:
+    """A partition value that survives as a folder name: blank values, the null
+    folder's name and marked values get a mark in front; null stays null."""
+    odd = (value == "") | (value == NULL_FOLDER) | value.startswith(MARK)
+    return F.when(odd, F.concat(F.lit(MARK), value)).otherwise(value)
+
+
+def decode(value: Column) -> Column:
+    return F.when(value.startswith(MARK), F.substr(value, F.lit(len(MARK) + 1))).otherwise(value)
+
+
+def _coded(df: DataFrame, columns: tuple[str, ...], code) -> DataFrame:
+    return df.withColumns({c: code(F.col(c)) for c in columns}) if columns else df
+
+
 def publish(
     df: DataFrame,
     path: str,
     name: str,
     partition_cols: tuple[str, ...] = (),
-    mode: str = "overwrite",
+    coded: tuple[str, ...] = (),
     fmt: str = "parquet",
-    comment: str | None = None,
 ) -> WriteMetrics:
-    """Write ``df`` to ``path`` and return its record counts.
-
-    ``mode="overwrite"`` is the materialized-view contract (added == total);
-    ``mode="append"`` is the streaming-table contract (total = before + added).
-    """
-    before = 0
-    if mode == "append":
-        before = _existing_rows(df.sparkSession, path, fmt)
+    """Replace the table at ``path`` by ``df`` and return its record counts.
+    ``coded`` names the text partitions whose values may be blank."""
+    spark = df.sparkSession
     obs = Observation(f"publish_{name}_{uuid.uuid4().hex[:8]}")
+    df = _coded(df, coded, encode)
     if partition_cols:
         df = df.hint("rebalance", *partition_cols)
     # observed in the write stage itself (above the rebalance exchange)
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    writer = observed.write.mode(mode).format(fmt)
-    if comment:
-        writer = writer.option("comment", comment)
+    writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("error").format(fmt)
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
-    writer.save(path)
+    version = f"v-{uuid.uuid4().hex}"
+    writer.save(f"{path}/{version}")
+    old = current_version(spark, path)
+    write_text(spark, f"{path}/{POINTER}", version)
+    if old:
+        remove(spark, f"{path}/{old}")  # this table's own earlier version
     added = int(obs.get["rows"])
-    return WriteMetrics(name, added, before + added if mode == "append" else added)
+    return WriteMetrics(name, added, added)
 
 
-def _existing_rows(spark: SparkSession, path: str, fmt: str) -> int:
-    """Rows already in an append table (a footer-only count for Parquet)."""
-    if not path_exists(spark, path):
-        return 0
-    return spark.read.format(fmt).load(path).count()
+def current_version(spark: SparkSession, path: str) -> str | None:
+    return read_text(spark, f"{path}/{POINTER}").strip() if path_exists(spark, f"{path}/{POINTER}") else None
 
 
-def read_published(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet"):
-    """Read a published table back with its declared schema, so partition
-    values (``2024-01-05``, ``01``) keep their string type instead of being
-    re-inferred as dates or integers."""
-    return spark.read.format(fmt).schema(schema).load(path)
+def read_published(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    coded: tuple[str, ...] = (),
+    fmt: str = "parquet",
+) -> DataFrame:
+    """The table's current version with its declared types and column order; a
+    table that was never published has no rows."""
+    version = current_version(spark, path)
+    if version is None:
+        return spark.createDataFrame([], schema)
+    df = spark.read.format(fmt).schema(schema).load(f"{path}/{version}")
+    return _coded(df, coded, decode).select(*schema.fieldNames())
 
 
 def metrics_frame(spark: SparkSession, metrics: list[WriteMetrics]) -> DataFrame:

@@ -1,88 +1,133 @@
 """Structured Streaming: raw landing in, append-only bronze out.
 
 S1 ``bronze_stream``     file-source stream over the raw root, fixed schema
-S5 ``append_bronze``     append-only sink with a persisted checkpoint;
+S5 ``append_bronze``     append-only table with a persisted checkpoint;
                          a re-run picks up only files it has not seen
 S8 ``land_stream``       streaming GZIP NDJSON landing by delivery hour
-
-Every micro-batch is bounded (``maxFilesPerTrigger`` / ``maxBytesPerTrigger``)
-and ``availableNow`` drains the backlog in such batches, so a 100 TB backlog
-is a sequence of bounded jobs. The checkpoint and the file sink's commit log
-make each batch exactly-once: a lost executor only re-runs tasks, a lost
-driver resumes from the last committed batch.
+S16 ``ledger``           rows added and in all, without reading the table
+
+Bronze has one writer, ``write_batch``: a micro-batch of a stream and a batch
+delivery both go to a folder of their own (``ingest=<kind>-<name>-<batch>``), which
+a retry replaces. So both are readable together, a batch that ran twice counts
+once, and no file log has to be compacted on the driver. The ledger beside the
+folders keeps the counts: a total, the last batch of each stream (only that one can
+be retried) and the rows of each named delivery.
+
+Every micro-batch is bounded (``maxFilesPerTrigger``) and ``availableNow`` drains
+the backlog in such batches, so a 100 TB backlog is a sequence of bounded jobs.
+GZIP files can't be split: the landing bounds their size, and a source that delivers
+larger ones must be asked to do so too.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tallyflow.session import is_file, path_exists, read_text, write_text
 from tallyflow.sources import raw
-from tallyflow.streaming import metrics
 from tallyflow.sources.schema import bronze_read_schema
 
+LEDGER = "_ledger.json"
+INGEST = "ingest"
+#: a file is new however old it is: back-fills keep their old modification times
+ANY_AGE = "36500d"
+
 
 def bronze_stream(
     spark: SparkSession,
     raw_root: str,
     definition=None,
     max_files_per_trigger: int | None = 1000,
-    spread_partitions: int | None = None,
+    max_file_age: str = ANY_AGE,
 ) -> DataFrame:
     """S1 + S3 + S4: stream raw JSON with the registry-derived schema, every
     folder below the root (``recursiveFileLookup``: the delivery folders are
     not turned into columns), plus the source file, in stored order.
-
-    GZIP files cannot be split, so one huge file is read by one task. The
-    landing bounds file sizes, but for a source that delivers one file with a
-    large share of all rows, ``spread_partitions`` reads lines as text,
-    spreads them round-robin and parses them with ``from_json`` there: only
-    the decompression stays in one task. Off by default (it adds a shuffle)."""
-    schema = bronze_read_schema(definition)
-    if spread_partitions:
-        reader = spark.readStream.format("text").option("recursiveFileLookup", "true")
-        if max_files_per_trigger:
-            reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-        lines = reader.load(raw_root).select(
-            "value", F.col("_metadata.file_path").alias("_file")
-        )
-        return raw.parse_lines(lines, schema, spread_partitions)
+    ``max_file_age`` bounds the source's memory of seen files: files older than
+    that, counted back from the newest, are ignored. The default ignores none."""
     reader = (
         spark.readStream.format("json")
-        .schema(schema)
+        .schema(bronze_read_schema(definition))
         .option("recursiveFileLookup", "true")
+        .option("maxFileAge", max_file_age)
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return raw.bronze_projection(reader.load(raw_root))
 
 
+def ledger(spark: SparkSession, table_path: str) -> dict:
+    path = f"{table_path}/{LEDGER}"
+    if not path_exists(spark, path):
+        if path_exists(spark, f"{table_path}/_spark_metadata"):
+            raise ValueError(f"{table_path} belongs to a streaming file sink; readers would ignore other files in it")
+        return {"total": 0, "streams": {}, "runs": {}}
+    return json.loads(read_text(spark, path))
+
+
+def write_batch(
+    df: DataFrame, table_path: str, kind: str, name: str, fmt: str = "parquet", batch: int = 0
+) -> tuple[int, int]:
+    """Write one batch to its own folder (again: in its place) and book its rows.
+    Returns the rows it adds to what the ledger held, and the total."""
+    spark = df.sparkSession
+    book = ledger(spark, table_path)
+    obs = Observation(f"bronze_{uuid.uuid4().hex[:8]}")
+    written = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode("overwrite")
+    written.option("partitionOverwriteMode", "static").save(f"{table_path}/{INGEST}={kind}-{name}-{batch}")
+    rows = int(obs.get["rows"])
+    if kind == "stream":
+        last, booked = book["streams"].get(name, [-1, 0])
+        before = booked if last == batch else 0
+        book["streams"][name] = [batch, rows]
+    else:
+        before = book["runs"].get(name, 0)
+        book["runs"][name] = rows
+    book["total"] += rows - before
+    write_text(spark, f"{table_path}/{LEDGER}", json.dumps(book))
+    return rows - before, book["total"]
+
+
+def read_bronze(spark: SparkSession, table_path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
+    """All batches in the stored columns and order; no batch yet: no rows."""
+    if not ledger(spark, table_path)["streams"] and not ledger(spark, table_path)["runs"]:
+        return spark.createDataFrame([], schema)
+    whole = T.StructType([*schema.fields, T.StructField(INGEST, T.StringType())])
+    return spark.read.format(fmt).schema(whole).load(table_path).select(*schema.fieldNames())
+
+
 def append_bronze(
     stream: DataFrame,
     table_path: str,
     checkpoint: str,
     fmt: str = "parquet",
     name: str | None = None,
-) -> StreamingQuery:
-    """Append the stream to the bronze table once over everything
-    available now, then stop. Returns the finished query (its progress holds
-    the per-batch row counts, see ``streaming.metrics``)."""
-    metrics.retain_progress(stream.sparkSession)
-    writer = (
-        stream.writeStream.format(fmt)
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-    )
+) -> tuple[int, int]:
+    """S5 + S16: append the stream to the bronze table once over everything
+    available now, then stop. Returns rows added by this run and rows in all."""
+    spark = stream.sparkSession
+    mark = f"{checkpoint}/table_stream_id"  # names this stream's batches, as long as its checkpoint lives
+    if not path_exists(spark, mark):
+        write_text(spark, mark, uuid.uuid4().hex[:12])
+    stream_id = read_text(spark, mark).strip()
+    before = ledger(spark, table_path)["total"]
+
+    def write(batch: DataFrame, number: int) -> None:
+        write_batch(batch, table_path, "stream", stream_id, fmt, number)
+
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if name:
         writer = writer.queryName(name)
-    query = writer.start(table_path)
-    query.awaitTermination()
-    return query
+    writer.start().awaitTermination()
+    total = ledger(spark, table_path)["total"]
+    return total - before, total
 
 
 def land_stream(
@@ -91,18 +136,19 @@ def land_stream(
     checkpoint: str,
     line: str = "line",
     delivered_at: str = "delivered_at",
-    salt_buckets: int = 4,
+    salt_buckets: int | None = None,
 ) -> StreamingQuery:
     """S8 (stream): GZIP NDJSON into ``year=/month=/day=/hour=`` folders of the
     delivery time, exactly-once through the checkpoint.
 
     Micro-batches run without AQE, so each batch is hash-partitioned on the
-    folder columns plus a salt of ``salt_buckets`` values: every writer task
-    touches few folders (no file per task and hour), and a hot hour is split
-    across up to ``salt_buckets`` writers instead of one."""
+    folder columns plus a salt. A delivery-hour landing has nearly all rows of a
+    batch in one hour, so by default the salt has as many values as there are
+    shuffle partitions and one hour uses all writers; fewer buckets make fewer
+    files where batches span many hours."""
     framed = raw.landing_frame(lines, line, delivered_at)
-    salt = F.pmod(F.xxhash64("value"), F.lit(salt_buckets))
     parts = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salt = F.pmod(F.xxhash64("value"), F.lit(salt_buckets or parts))
     spread = framed.repartition(parts, *raw.LANDING_PARTITIONS, salt)
     query = (
         spread.writeStream.format("text")
@@ -132,7 +178,7 @@ def table_stream(
         .schema(schema)
         .option("maxFilesPerTrigger", str(max_files_per_trigger))
     )
-    if os.path.isfile(path):
+    if is_file(spark, path):
         folder, name = os.path.split(path)
         return reader.option("pathGlobFilter", name).load(folder)
     return reader.load(path)

@@ -5,6 +5,7 @@ import json
 import os
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,19 +13,17 @@ from tallyflow.operators import gold, silver
 from tallyflow.plans import pipeline
 from tallyflow.session import scratch_path
 from tallyflow.sources import raw
+from tallyflow.sources.tables import TABLES
 from tallyflow.sources.schema import BRONZE_COLUMNS, PAYMENT_EVENT_CONTRACT, schema_from_registry
 from tallyflow.streaming import bronze as bronze_streaming
-from tallyflow.streaming import metrics
 
-# The two example landing lines: same id, the later one has amount 200.
-EXAMPLE_LINES = [
-    {"event_id": "00175cd5-0212-4e8c-a5ed-cf348ce6b01a", "merchant_id": "mrc_0002",
-     "user_id": "usr_000144", "amount_usd": 143.18, "currency": "JPY", "status": "captured",
-     "event_timestamp": "2026-09-19T04:10:49.856450Z"},
-    {"event_id": "00175cd5-0212-4e8c-a5ed-cf348ce6b01a", "merchant_id": "mrc_0002",
-     "user_id": "usr_000144", "amount_usd": 200, "currency": "JPY", "status": "captured",
-     "event_timestamp": "2026-09-19T06:10:49.856450Z"},
-]
+# One payment delivered twice; the later copy has another amount.
+def _line(hour, amount, **more):
+    return {"event_id": "evt-twice", "merchant_id": "mrc_0042", "user_id": "usr_7", "amount_usd": amount,
+            "currency": "CAD", "status": "captured", "event_timestamp": f"2026-03-05T{hour:02d}:15:00Z", **more}
+
+
+TWICE = [_line(8, 61.5), _line(11, 310)]
 
 
 def _local(path):
@@ -60,19 +59,19 @@ def test_contract_amount_is_untyped_string():
     assert s["amount_usd"].dataType == T.DoubleType()
 
 
-def test_example_lines_to_silver_and_gold(spark):
+def test_later_copy_reaches_silver_and_gold(spark):
     root = _local(scratch_path(spark, "examples"))
-    _write_gz(f"{root}/year=2026/month=09/day=19/hour=04", "a.json.gz", [json.dumps(EXAMPLE_LINES[0])])
-    _write_gz(f"{root}/year=2026/month=09/day=19/hour=06", "b.json.gz", [json.dumps(EXAMPLE_LINES[1])])
+    _write_gz(f"{root}/year=2026/month=03/day=05/hour=08", "a.json.gz", [json.dumps(TWICE[0])])
+    _write_gz(f"{root}/year=2026/month=03/day=05/hour=11", "b.json.gz", [json.dumps(TWICE[1])])
     b = raw.read_bronze_batch(spark, root)
     assert tuple(b.columns) == BRONZE_COLUMNS
     assert b.where(F.col("source_file").endswith(".json.gz")).count() == 2
     (s,) = silver.silver_payments(b).collect()
-    assert s.amount == Decimal("200.00") and s.currency_normalized == "JPY"
-    assert s.amount_band == "large" and (s.year, s.month, s.day) == ("2026", "09", "19")
+    assert s.amount == Decimal("310.00") and s.currency_normalized == "CAD"
+    assert s.amount_band == "large" and (s.year, s.month, s.day) == ("2026", "03", "05")
     (g,) = gold.daily(silver.silver_payments(b)).collect()
     assert (g.full_date, g.country, g.amount, g.txn_count, g.unique_users, g.amount_band) == (
-        "2026-09-19", "unknown", Decimal("200.00"), 1, 1, "small")
+        "2026-03-05", "unknown", Decimal("310.00"), 1, 1, "medium")
 
 
 def test_string_and_numeric_amounts_side_by_side(spark):
@@ -92,7 +91,7 @@ def test_string_and_numeric_amounts_side_by_side(spark):
 
 def test_malformed_line_and_extras(spark):
     root = _local(scratch_path(spark, "malformed"))
-    extra = dict(EXAMPLE_LINES[0], schema_version=3, payment_method="card", source_file="spoof")
+    extra = dict(TWICE[0], schema_version=3, payment_method="card", source_file="spoof")
     _write_gz(root, "x.json.gz", ["{not json", json.dumps(extra)])
     b = raw.read_bronze_batch(spark, root)
     assert tuple(b.columns) == BRONZE_COLUMNS  # extras dropped
@@ -112,20 +111,63 @@ def test_malformed_line_and_extras(spark):
 def test_stream_rerun_adds_nothing(spark):
     work = scratch_path(spark, "stream")
     root = _local(f"{work}/raw")
-    _write_gz(f"{root}/year=2026/month=09/day=19/hour=04", "a.json.gz", [json.dumps(EXAMPLE_LINES[0])])
-    _write_gz(f"{root}/year=2026/month=09/day=19/hour=06", "b.json.gz", [json.dumps(EXAMPLE_LINES[1])])
-    q1 = bronze_streaming.append_bronze(
-        bronze_streaming.bronze_stream(spark, root), f"{work}/bronze", f"{work}/ckpt")
-    q2 = bronze_streaming.append_bronze(
-        bronze_streaming.bronze_stream(spark, root), f"{work}/bronze", f"{work}/ckpt")
-    assert metrics.added_rows(q1) == 2 and metrics.added_rows(q2) == 0
-    assert spark.read.parquet(f"{work}/bronze").count() == 2
-    # a new file is picked up by the next run, and only it
-    _write_gz(f"{root}/year=2026/month=09/day=19/hour=07", "c.json.gz", [json.dumps(EXAMPLE_LINES[1])])
-    q3 = bronze_streaming.append_bronze(
-        bronze_streaming.bronze_stream(spark, root), f"{work}/bronze", f"{work}/ckpt")
-    assert metrics.added_rows(q3) == 1
-    assert spark.read.parquet(f"{work}/bronze").count() == 3
+    _write_gz(f"{root}/year=2026/month=03/day=05/hour=08", "a.json.gz", [json.dumps(TWICE[0])])
+    _write_gz(f"{root}/year=2026/month=03/day=05/hour=11", "b.json.gz", [json.dumps(TWICE[1])])
+    run = lambda: bronze_streaming.append_bronze(bronze_streaming.bronze_stream(spark, root), f"{work}/bronze", f"{work}/ckpt")
+    assert run() == (2, 2) and run() == (0, 2)
+    # a new file is picked up by the next run, and only it; however old it is
+    _write_gz(f"{root}/year=2026/month=03/day=05/hour=12", "c.json.gz", [json.dumps(TWICE[1])])
+    old = f"{root}/year=2026/month=03/day=05/hour=12/c.json.gz"
+    os.utime(old, (os.path.getmtime(old) - 30 * 86400,) * 2)
+    assert run() == (1, 3)
+    assert bronze_streaming.read_bronze(spark, f"{work}/bronze", TABLES["bronze_payments"].schema).count() == 3
+
+
+def test_stream_and_batches_share_one_table(spark):
+    work = scratch_path(spark, "both")
+    root = _local(f"{work}/raw")
+    _write_gz(root, "a.json.gz", [json.dumps(x) for x in TWICE])
+    wh = pipeline.Warehouse(f"{work}/wh")
+    metrics = lambda ms: {m.table: (m.added_records, m.total_records) for m in ms}
+    assert metrics(pipeline.run_from_raw(spark, root, wh, f"{work}/ckpt"))["bronze_payments"] == (2, 2)
+    batch = raw.read_bronze_batch(spark, root).withColumn("event_id", F.concat("event_id", F.lit("-b"), F.col("amount_usd").cast("string")))
+    first = metrics(pipeline.publish_all(spark, batch, wh, "delivery-1"))
+    assert first["bronze_payments"] == (2, 4) and first["silver_payments"] == (3, 3)
+    # the same delivery again, as after a failure further down
+    assert metrics(pipeline.publish_all(spark, batch, wh, "delivery-1"))["bronze_payments"] == (0, 4)
+    _write_gz(root, "b.json.gz", [json.dumps(_line(14, 5, event_id="evt-new"))])
+    assert metrics(pipeline.run_from_raw(spark, root, wh, f"{work}/ckpt"))["bronze_payments"] == (1, 5)
+    again = pipeline.Warehouse(f"{work}/wh")
+    assert again.read(spark, "bronze_payments").count() == 5 and again.read(spark, "silver_payments").count() == 4
+    assert not spark.conf.get("spark.sql.shuffle.partitions") != "8"
+
+
+def test_a_table_of_the_file_sink_is_refused(spark):
+    path = scratch_path(spark, "sink")
+    os.makedirs(f"{_local(path)}/_spark_metadata")
+    with pytest.raises(ValueError, match="streaming file sink"):
+        bronze_streaming.write_batch(spark.range(1).toDF("x"), path, "run", "r")
+
+
+def test_empty_landing_publishes_empty_tables(spark):
+    work = scratch_path(spark, "empty")
+    os.makedirs(_local(f"{work}/raw"))
+    out = {m.table: m.total_records for m in pipeline.run_from_raw(spark, _local(f"{work}/raw"), pipeline.Warehouse(f"{work}/wh"), f"{work}/ckpt")}
+    assert out["bronze_payments"] == out["silver_payments"] == out["fact_payments"] == 0 and out["dim_date"] == 4018
+    wh = pipeline.Warehouse(f"{work}/wh")
+    for name, table in TABLES.items():
+        assert wh.read(spark, name).schema.simpleString() == table.schema.simpleString()
+    assert wh.register_views(spark) and spark.table("fact_payments_rejected").count() == 0
+
+
+def test_hour_of_one_landing_uses_all_writers(spark):
+    work = scratch_path(spark, "one_hour")
+    lines = spark.range(4000).selectExpr("concat('{\"n\":', id, '}') AS line", "timestamp'2026-03-05 08:10:00' AS delivered_at")
+    lines.write.parquet(f"{work}/in")
+    stream = spark.readStream.schema(lines.schema).parquet(f"{work}/in")
+    bronze_streaming.land_stream(stream, f"{work}/out", f"{work}/ckpt")
+    files = [f for _, _, fs in os.walk(_local(f"{work}/out")) for f in fs if f.endswith(".gz")]
+    assert len(files) >= 5 and spark.read.text(f"{work}/out").count() == 4000
 
 
 def test_landing_layout(spark):
@@ -147,7 +189,7 @@ def test_landing_layout(spark):
 def test_pipeline_from_raw_twice(spark):
     work = scratch_path(spark, "pipe")
     root = _local(f"{work}/raw")
-    _write_gz(root, "a.json.gz", [json.dumps(x) for x in EXAMPLE_LINES])
+    _write_gz(root, "a.json.gz", [json.dumps(x) for x in TWICE])
     wh = pipeline.Warehouse(f"{work}/wh")
     m1 = {m.table: m for m in pipeline.run_from_raw(spark, root, wh, f"{work}/ckpt")}
     m2 = {m.table: m for m in pipeline.run_from_raw(spark, root, wh, f"{work}/ckpt")}
@@ -155,32 +197,4 @@ def test_pipeline_from_raw_twice(spark):
     assert (m2["bronze_payments"].added_records, m2["bronze_payments"].total_records) == (0, 2)
     assert m2["silver_payments"].total_records == 1 and m2["dim_date"].total_records == 4018
     fact = wh.read(spark, "fact_payments").collect()
-    assert len(fact) == 1 and fact[0].full_date == "2026-09-19" and fact[0].country == "unknown"
-
-
-def test_spread_parse_matches_json_source(spark):
-    work = scratch_path(spark, "spread")
-    root = _local(f"{work}/raw")
-    extra = dict(EXAMPLE_LINES[0], schema_version=3, source_file="spoof")
-    _write_gz(root, "big.json.gz", [json.dumps(x) for x in EXAMPLE_LINES] + ["{not json", json.dumps(extra)])
-    outs = []
-    for i, spread in enumerate((None, 4)):
-        q = bronze_streaming.append_bronze(
-            bronze_streaming.bronze_stream(spark, root, spread_partitions=spread),
-            f"{work}/bronze{i}", f"{work}/ckpt{i}")
-        assert metrics.added_rows(q) == 4
-        t = spark.read.parquet(f"{work}/bronze{i}")
-        assert tuple(t.columns) == BRONZE_COLUMNS
-        outs.append(sorted((tuple(r) for r in t.collect()), key=repr))
-    assert outs[0] == outs[1]
-    assert sum(1 for r in outs[1] if r[0] is None) == 1  # the malformed line, all null
-
-
-def test_spread_batch_read_matches(spark):
-    root = _local(scratch_path(spark, "spread_batch"))
-    _write_gz(root, "big.json.gz", [json.dumps(x) for x in EXAMPLE_LINES] + ["{not json"])
-    a = raw.read_bronze_batch(spark, root)
-    b = raw.read_bronze_batch(spark, root, spread_partitions=4)
-    assert tuple(b.columns) == BRONZE_COLUMNS
-    key = lambda rows: sorted((tuple(r) for r in rows), key=repr)
-    assert key(a.collect()) == key(b.collect())
+    assert len(fact) == 1 and fact[0].full_date == "2026-03-05" and fact[0].country == "unknown"

@@ -13,7 +13,7 @@ from pyspark.pipelines.output import MaterializedView, StreamingTable, Temporary
 
 from tallyflow.plans.declarative import declare
 from tallyflow.session import scratch_path
-from test_bronze import EXAMPLE_LINES
+from test_bronze import TWICE
 
 
 class Collected(GraphElementRegistry):
@@ -50,6 +50,12 @@ def test_declared_datasets(spark):
     assert parts["silver_payments"] == ["year", "month", "day"]
     assert parts["fact_payments"] == ["full_date", "country"]
     assert parts["dim_date"] is None
+    from tallyflow.sources.tables import TABLES
+
+    for o in reg.outputs:
+        if o.name in TABLES:
+            assert o.comment == TABLES[o.name].comment != ""
+            assert o.table_properties == TABLES[o.name].properties != {}
     assert [f.target for f in reg.flows][0] == "bronze_payments"
     assert len(reg.flows) == 10
 
@@ -59,7 +65,7 @@ def test_flows_run_in_declared_order(spark):
     root = work[len("file:"):] if work.startswith("file:") else work
     os.makedirs(f"{root}/raw", exist_ok=True)
     with gzip.open(f"{root}/raw/a.json.gz", "wt") as f:
-        for line in EXAMPLE_LINES:
+        for line in TWICE:
             f.write(json.dumps(line) + "\n")
     reg = _declared(spark, f"{root}/raw")
     outputs = {}
@@ -76,7 +82,7 @@ def test_flows_run_in_declared_order(spark):
     assert outputs["silver_payments"].count() == 1
     assert outputs["silver_payments_rejected"].count() == 0
     (fact,) = outputs["fact_payments"].collect()
-    assert (fact.full_date, fact.country, fact.amount_band) == ("2026-09-19", "unknown", "small")
+    assert (fact.full_date, fact.country, fact.amount_band) == ("2026-03-05", "unknown", "medium")
     assert outputs["dim_date"].count() == 4018
 
 

@@ -33,6 +33,20 @@ def test_accepted_amounts(spark, amount):
     assert r.contract_reasons == []
 
 
+@pytest.mark.parametrize("amount", ["1.0000000000000000001", "10.0000000000000000004", "0.0000000000000000004",
+                                    "0.0000000000000000000001", "1e-3", "12345678901234567", "1e99999999999", "1e-99999999999",
+                                    "-0.00", "0e9", "", ".", "1_0", "0x1", "1d"])
+def test_amounts_are_judged_by_their_digits(spark, amount):
+    (r,) = outbound.contract_violations(_df(spark, {"amount": amount})).collect()
+    assert len(r.contract_reasons) == 1, (amount, r.contract_reasons)
+
+
+@pytest.mark.parametrize("amount", ["1.10e1", "120e-1", ".50", "7.", "+3", "0001.2000", "1e15", "0.0100e2"])
+def test_amounts_with_few_digits_pass(spark, amount):
+    (r,) = outbound.contract_violations(_df(spark, {"amount": amount})).collect()
+    assert r.contract_reasons == []
+
+
 def test_specific_reasons(spark):
     got = {
         r.event_id: r.contract_reasons

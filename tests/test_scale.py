@@ -19,7 +19,7 @@ def _plan(df):
 
 def test_gold_day_slice_prunes_partitions(spark):
     wh = pipeline.Warehouse(scratch_path(spark, "prune"))
-    pipeline.publish_all(spark, fixture.bronze_from_dir(spark, SF), wh)
+    pipeline.publish_all(spark, fixture.bronze_from_dir(spark, SF), wh, "fixture")
     fact = wh.read(spark, "fact_payments")
     q = marts.top_merchants_gmv(fact, full_date="2024-01-05")
     plan = _plan(q)
