@@ -111,7 +111,9 @@ def features(texts: list[str | None], codes: np.ndarray, gram_llr: np.ndarray, g
 def count_grams(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(gram, n0, n1): counts of the top order in ordinary and toxic texts."""
     labels = labels.select(F.col("doc_id").alias("__id"), F.col("toxic").cast("int").alias("__toxic")).where("__toxic in (0, 1)")
-    rows = docs.select("doc_id", "text").where(fold("doc_id").isin(*COUNT_FOLDS)).join(labels, F.col("doc_id") == F.col("__id"))
+    rows = docs.select("doc_id", "text").where(fold("doc_id").isin(*COUNT_FOLDS))
+    # sorted and merged at every size: labels may grow with the documents
+    rows = rows.join(labels.hint("merge"), F.col("doc_id") == F.col("__id"))
 
     def run(batches):
         codes = _symbols()
@@ -141,7 +143,6 @@ def shared_lower(grams: DataFrame) -> DataFrame:
     for k in range(ORDER - 1, 0, -1):  # continuation count: distinct longer grams with this suffix
         kinds = kinds.groupBy(F.col("gram").bitwiseAND(F.lit(mask(k))).alias("gram")).agg(F.count("*").alias("n"))
         tables.append((k, kinds))
-        kinds = kinds.select("gram", "n") if k == ORDER else kinds
     low = None
     for k, table in reversed(tables):
         if k == 1:
@@ -235,7 +236,8 @@ def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model
         for batch in text_chunks(batches, CHUNK_BYTES):
             yield {"x": list(shared.value.features(batch.column("text").to_pylist(), codes)), "toxic": batch.column("toxic")}
 
-    sample = docs.select("doc_id", "text").join(rows, F.col("doc_id") == F.col("__id"))
+    # fit_rows rows at most
+    sample = docs.select("doc_id", "text").join(F.broadcast(rows), F.col("doc_id") == F.col("__id"))
     found = arrow_map(sample.select("text", "toxic"), run, "x array<double>, toxic int").toPandas()  # fit_rows rows at most
     if found["toxic"].nunique() == 2:
         x = np.array(found["x"].tolist())
