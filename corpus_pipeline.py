@@ -43,7 +43,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the first document of each group of near-duplicates (five-word
     shingles, similarity of 0.8 or more)."""
     found = neardup.near_duplicates(docs, k=5, percent=80).where("not kept").select(F.col("doc_id").alias("__copy"))
-    return docs.join(found, docs["doc_id"].cast("long") == found["__copy"], "left_anti")
+    # sorted and merged at every size: the copies grow with the documents
+    return docs.join(found.hint("merge"), docs["doc_id"].cast("long") == found["__copy"], "left_anti")
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
