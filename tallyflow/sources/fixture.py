@@ -27,6 +27,7 @@ STATUS_BY_EVENT_TYPE = (
     ("error", "failed"),
 )
 STATUS_OTHER = "refunded"
+TIES = {"currency": 60, "status": 80, "country": 100, "amount": 120, "time": 140, "currency_code": 160, "status_code": 180}
 COUNTRY_BY_MOD7 = ("US", "BR", "GB", "DE", "JP", "MX", "CA")
 
 
@@ -121,8 +122,11 @@ def payments_bronze(events: DataFrame, with_delivery: bool = False) -> DataFrame
     # copy 0 is the row itself; every fifth row also gets one duplicate whose
     # kind depends on n % 20 (0: other user, 5: newer but invalid status,
     # 10: newer with another amount, 15: exact copy from a greater path).
+    # Of the first kind, seven n % 200 instead tie on time and user and differ in
+    # one later field of the tie-break payload each.
     m20 = n % 20
     dup = F.col("copy") == 1
+    tie = {k: dup & (m200 == v) for k, v in TIES.items()}
     later = F.replace(F.col("event_timestamp"), F.lit("Z"), F.lit("-01:00"))
     rows = clean.withColumn(
         "copy",
@@ -136,20 +140,28 @@ def payments_bronze(events: DataFrame, with_delivery: bool = False) -> DataFrame
         .otherwise(F.col("merchant_id"))
         .alias("merchant_id"),
         F.when(~dup & m200.isin(19, 9), " ")
-        .when(dup & (m20 == 0), "usr_999999")
+        .when(dup & (m20 == 0) & ~m200.isin(*TIES.values()), "usr_999999")
         .otherwise(F.col("user_id"))
         .alias("user_id"),
         "amount_usd",
-        "currency",
-        F.when(dup & (m20 == 5), "banana").otherwise(F.col("status")).alias("status"),
+        F.when(tie["currency"], F.concat("currency", F.lit(" ")))
+        .when(tie["currency_code"], "MXN")
+        .otherwise(F.col("currency"))
+        .alias("currency"),
+        F.when(dup & (m20 == 5), "banana")
+        .when(tie["status"], F.concat("status", F.lit(" ")))
+        .when(tie["status_code"], "refunded")
+        .otherwise(F.col("status"))
+        .alias("status"),
         F.when(dup & m20.isin(5, 10), later)
+        .when(tie["time"], F.replace(F.col("event_timestamp"), F.lit("Z"), F.lit("+00:00")))
         .otherwise(F.col("event_timestamp"))
         .alias("event_timestamp"),
         F.when(dup & (m20 == 15), "raw/part-9.json.gz")
         .otherwise(F.col("source_file"))
         .alias("source_file"),
-        "country",
-        F.when(dup & (m20 == 10), "77.77").otherwise(F.col("amount")).alias("amount"),
+        F.when(tie["country"], "ZZ").otherwise(F.col("country")).alias("country"),
+        F.when(dup & (m20 == 10), "77.77").when(tie["amount"], "55.55").otherwise(F.col("amount")).alias("amount"),
         "delivered_at",
     )
     cols = list(BRONZE_COLUMNS) + (["delivered_at"] if with_delivery else [])
