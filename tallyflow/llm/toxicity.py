@@ -11,9 +11,9 @@ moves a score:
 
 An n-gram that neither class has seen leaves log of the two back-off weights, which
 needs the context alone; so scoring looks up one table of seen n-grams and one of
-contexts. Both are folded into ``2**GRAM_BITS`` and ``2**CONTEXT_BITS`` buckets
-(values weighted by count where they collide): the broadcast model has a fixed size
-whatever the corpus, while its counts cover every labelled text.
+contexts. Both are exact, by full key: no two n-grams share a value and an unseen one
+is never taken for a seen one. The broadcast model therefore grows with the number of
+distinct n-grams and contexts counted (about 16 to 28 bytes each).
 
 A document's length-normalised difference of the two log-likelihoods is taken over
 the whole text, and over each word, of which the largest count most: a few toxic
@@ -41,7 +41,6 @@ from tallyflow.llm.common import arrow_map, fold, text_chunks, written
 ORDER = 6
 BITS = 6  # of a symbol
 DISCOUNT = 0.75
-GRAM_BITS, CONTEXT_BITS = 22, 20
 FIT_ROWS = 20_000
 THRESHOLD = 0.3
 CHUNK_BYTES = 2_000_000
@@ -84,7 +83,31 @@ def bucket(x: np.ndarray, bits: int) -> np.ndarray:
         return ((x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def features(texts: list[str | None], codes: np.ndarray, gram_llr: np.ndarray, gram_seen: np.ndarray, context_llr: np.ndarray) -> np.ndarray:
+class Keyed:
+    """Values by integer key, exact: keys lie by bucket, and a bucket is searched key by key."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.bits = max(1, len(keys).bit_length())
+        at = bucket(keys, self.bits)
+        order = np.argsort(at, kind="stable")
+        self.keys, self.values = keys[order], values[order]
+        self.starts = np.searchsorted(at[order], np.arange((1 << self.bits) + 1))
+
+    def find(self, keys: np.ndarray, missing: float) -> np.ndarray:
+        at = bucket(keys, self.bits)
+        place, stop = self.starts[at], self.starts[at + 1]
+        out = np.full(len(keys), missing, np.float32)
+        rows = np.flatnonzero(place < stop)
+        while len(rows):
+            hit = self.keys[place[rows]] == keys[rows]
+            out[rows[hit]] = self.values[place[rows[hit]]]
+            rows = rows[~hit]
+            place[rows] += 1
+            rows = rows[place[rows] < stop[rows]]
+        return out
+
+
+def features(texts: list[str | None], codes: np.ndarray, gram_llr: Keyed, context_llr: Keyed) -> np.ndarray:
     """Per text: mean over its symbols, largest word, means of the 3 largest words
     and of the largest fiftieth, and the logarithm of its number of words."""
     out = np.zeros((len(texts), 5))
@@ -95,8 +118,9 @@ def features(texts: list[str | None], codes: np.ndarray, gram_llr: np.ndarray, g
         grams = grams_of(s)
         if not len(grams):
             continue
-        at = bucket(grams, GRAM_BITS)
-        llr = np.where(gram_seen[at], gram_llr[at], context_llr[bucket(grams >> BITS, CONTEXT_BITS)])
+        llr = gram_llr.find(grams, np.nan)
+        unseen = np.isnan(llr)
+        llr[unseen] = context_llr.find(grams[unseen] >> BITS, 0.0)
         last = s[ORDER - 1 :]
         stops = np.flatnonzero(last == 0)  # a word's n-grams end with its blank
         if not len(stops) or stops[-1] != len(last) - 1:
@@ -218,14 +242,14 @@ def shared_lower(grams: DataFrame) -> DataFrame:
 
 
 class Model:
-    """Bucketed tables and logistic weights; a fixed number of values."""
+    """Exact tables of n-grams and contexts, and logistic weights."""
 
-    def __init__(self, gram_llr, gram_seen, context_llr, weights=None, mean=None, scale=None):
-        self.gram_llr, self.gram_seen, self.context_llr = gram_llr, gram_seen, context_llr
+    def __init__(self, gram_llr, context_llr, weights=None, mean=None, scale=None):
+        self.gram_llr, self.context_llr = gram_llr, context_llr
         self.weights, self.mean, self.scale = weights, mean, scale
 
     def features(self, texts, codes):
-        return features(texts, codes, self.gram_llr, self.gram_seen, self.context_llr)
+        return features(texts, codes, self.gram_llr, self.context_llr)
 
     def score(self, x: np.ndarray) -> np.ndarray:
         if self.weights is None:
@@ -246,24 +270,14 @@ def language_models(spark: SparkSession, docs: DataFrame, labels: DataFrame) ->
     low = shared_lower(grams).select(F.col("gram").alias("suffix"), "p")
     joined = grams.withColumn("h", shift("gram")).join(context, "h").withColumn("suffix", F.col("gram").bitwiseAND(F.lit(suffix))).join(low, "suffix")
     p = lambda n, t, w: F.when(F.col(t) > 0, F.greatest(F.col(n) - DISCOUNT, F.lit(0.0)) / F.col(t)).otherwise(0.0) + F.col(w) * F.col("p")
-    seen = joined.select("gram", (F.col("n0") + F.col("n1")).alias("n"), F.log(p("n1", "t1", "w1") / p("n0", "t0", "w0")).alias("llr"))
-    back = context.select("h", (F.col("t0") + F.col("t1")).alias("n"), F.log(F.col("w1") / F.col("w0")).alias("llr"))
-
-    def buckets(rows: DataFrame, key: str, bits: int) -> tuple[np.ndarray, np.ndarray]:
-        def place(batches):
-            for batch in batches:
-                yield {"bucket": bucket(batch.column(key).to_numpy(), bits), "n": batch.column("n"), "llr": batch.column("llr")}
-
-        placed = arrow_map(rows.select(key, "n", "llr"), place, "bucket long, n long, llr double").groupBy("bucket")
-        found = placed.agg((F.sum(F.col("llr") * F.col("n")) / F.sum("n")).cast("float").alias("llr")).toArrow()  # 2**bits rows at most
-        values, seen = np.zeros(1 << bits, np.float32), np.zeros(1 << bits, bool)
-        at = found.column("bucket").to_numpy()
-        values[at], seen[at] = found.column("llr").to_numpy(), True
-        return values, seen
-
-    gram_llr, gram_seen = buckets(seen, "gram", GRAM_BITS)
-    context_llr, _ = buckets(back, "h", CONTEXT_BITS)
-    return Model(gram_llr, gram_seen, context_llr)
+    seen = joined.select("gram", F.log(p("n1", "t1", "w1") / p("n0", "t0", "w0")).alias("llr"))
+    back = context.select("h", F.log(F.col("w1") / F.col("w0")).alias("llr"))
+
+    def keyed(rows: DataFrame, key: str) -> Keyed:
+        found = rows.select(key, F.col("llr").cast("float").alias("llr")).toArrow()  # all that was counted: distinct n-grams, not symbols
+        return Keyed(found.column(key).to_numpy(), found.column("llr").to_numpy())
+
+    return Model(keyed(seen, "gram"), keyed(back, "h"))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 30) -> np.ndarray:

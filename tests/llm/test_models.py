@@ -69,6 +69,23 @@ def test_kneser_ney_probabilities_sum_to_one(spark):
     assert all(0 < p < 1 for p in low.values()) and max(totals.values()) < 1 and len(low) > 100
 
 
+def test_toxicity_tables_are_exact(spark, docs_of):
+    """Unseen n-grams leave the back-off alone, also where a hash of 22 bits meets that of a seen one."""
+    ids = [i for i in range(50) if zlib.crc32(str(i).encode()) % 4 in toxicity.COUNT_FOLDS][:2]
+    docs = docs_of(list(zip(ids, ["aaaa bbbb abab", "cccc dddd cdcd"])))
+    model = toxicity.language_models(spark, docs, spark.createDataFrame([(ids[0], 0), (ids[1], 1)], "doc_id long, toxic int"))
+    codes = toxicity._symbols()
+    seen = np.concatenate([toxicity.grams_of(toxicity.symbols_of([t], codes)[0]) for t in ("aaaa bbbb abab", "cccc dddd cdcd")])
+    letters = np.random.default_rng(0).integers(5, 27, (2_000_000, toxicity.ORDER))
+    grams = sum(letters[:, j] << toxicity.BITS * (toxicity.ORDER - 1 - j) for j in range(toxicity.ORDER))
+    meets = np.isin(toxicity.bucket(grams, 22), toxicity.bucket(seen, 22))
+    texts = ["".join(chr(96 + x) for x in row) for row in letters[meets]]
+    assert len(texts) > 3
+    # both classes have seen the empty context equally often, so nothing speaks for either
+    assert abs(model.features(texts, codes)[:, :4]).max() == 0
+    assert model.features(["aaaa", "cccc"], codes)[0, 0] < 0 < model.features(["aaaa", "cccc"], codes)[1, 0]
+
+
 def plain_bm25(texts, k):
     words = {i: regex.findall(r"[\p{L}\p{N}]+", (t or "").lower()) for i, t in texts.items()}
     n, mean = len(words), sum(map(len, words.values())) / max(1, len(words))
