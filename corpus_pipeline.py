@@ -49,7 +49,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold an item of ``benchmark``."""
-    return decontam.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return decontam.without_contaminated(docs, table(spark, sf_dir, "benchmark"), short_items=True)
 
 
 def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

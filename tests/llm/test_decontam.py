@@ -1,3 +1,4 @@
+import itertools
 import random
 import re
 
@@ -82,6 +83,46 @@ def test_nulls_empty_ties_and_repeated_rows(spark, docs_of):
     assert decontam.contaminated(docs, bench.where(F.lit(False))).count() == 0
 
 
+def accepted(size, percent=80):
+    """All ways in which ``size`` places agree often enough (fewer differences lie inside these)."""
+    free = size - -(-size * percent // 100)
+    return [[i not in left for i in range(size)] for left in itertools.combinations(range(size), free)]
+
+
+def test_masks_meet_whatever_the_verification_accepts():
+    for size in range(1, decontam.STRETCH + 1):
+        masks = decontam.MASKS if size >= 8 else decontam.short_masks(size, 80)
+        span = max(map(len, masks))
+        for same in accepted(size):
+            assert any(all(same[p + q] for q, c in enumerate(m) if c == "1") for m in masks for p in range(size - span + 1)), (size, same)
+
+
+def test_equals_all_alignments_without_any_seed(spark, docs_of):
+    r = random.Random(9)
+    items = [(size, " ".join(words(size, 300 + size))) for size in (*range(1, 17), 25)]
+    docs = []
+    for size, text in items:
+        patterns = accepted(min(size, 16))
+        for same in r.sample(patterns, min(len(patterns), 30)) + [[False] * 4 + [True] * (size - 4)]:
+            copy = [w if s else "changed" for w, s in zip(text.split(), same)]
+            docs.append((len(docs), " ".join(words(9, len(docs)) + copy + words(7, 7000 + len(docs)))))
+    want = set()
+    for d, text in docs:
+        t = text.split()
+        for i, item in items:
+            w = item.split()
+            size = min(len(w), 16)
+            for at in range(-len(w) + 1, len(t)):
+                same = [t[at + p] == w[p] for p in range(max(0, -at), min(len(w), len(t) - at))]
+                if any(100 * sum(same[s : s + size]) >= 80 * size for s in range(len(same) - size + 1)):
+                    want.add((d, i))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert pairs(decontam.contaminated(docs_of(docs), bench, short_items=True)) == want
+    assert {i for _, i in want} == {i for i, _ in items}
+    gone = {d for d, _ in want}
+    assert {x.doc_id for x in decontam.without_contaminated(docs_of(docs), bench, short_items=True).collect()} == {d for d, _ in docs} - gone
+
+
 def test_plan_has_no_python(spark, docs_of):
     bench = spark.createDataFrame([(1, " ".join(words(20, 1)))], "item_id long, text string")
     plan = decontam.contaminated(docs_of(["a b"]), bench)._jdf.queryExecution().toString()
