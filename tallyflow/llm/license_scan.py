@@ -2,20 +2,23 @@
 
 A *block* is the stretch of words around words that license notices use (``CUES``);
 overlapping stretches are one block. Each block is compressed on its own and with
-each notice template as zstandard raw-content dictionary. Templates are ranked by
-the reduction; from the top, a template is confirmed if its words align with the
-block's words nearly completely, and the exact wording differences are reported.
-Confirmed stretches don't overlap, so a block may hold several notices.
+each notice template as zstandard raw-content dictionary. A template is
+confirmed wherever its words align with the block's words nearly completely and the
+words that name the license and its version agree.
+Of confirmed stretches that overlap, the one with the fewest differing words stays, then
+the largest reduction; the exact differences are reported. A block may hold several
+notices. A stretch without differences needs no reduction.
 
 Defined results: null, empty and cue-less texts have no rows; case and punctuation
-don't count; equal notices in one document each have a row; equal reductions go to
-the first license by name; rows with a null doc_id keep it; other columns are
+don't count; equal notices in one document each have a row; equal differences
+and reductions go to the longer stretch, then to the first license by name; rows with a null doc_id keep it; other columns are
 ignored. Very long texts cost no more than their blocks.
 """
 
 from __future__ import annotations
 
 import difflib
+from collections import Counter
 
 import regex
 import zstandard
@@ -28,15 +31,15 @@ AROUND = 40  # words on either side of a cue
 LEAST_MATCHED = 0.85  # of a template's words
 CHUNK_BYTES = 4_000_000
 CUES = ("license", "licensed", "licence", "licenced", "copyright", "spdx", "permission", "warranty", "redistribution")
+# cues by their beginning: tags and short forms are one word, or "CC" and the next one
+CUE_STARTS = ("spdx-", "cc-by")
 
 # fixed values: usual wordings of public license notices
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
     ("Apache-2.0", "you may not use this file except in compliance with the License"),
     ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0"),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0"),
-    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3"),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2"),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3"),
     ("GPL-3.0", "either version 3 of the License, or (at your option) any later version"),
@@ -46,13 +49,65 @@ TEMPLATES = (
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
 )
 
+# fixed values: the Creative Commons licenses, in words, short and as one tag
+CREATIVE = {
+    "BY": "Attribution",
+    "BY-SA": "Attribution-ShareAlike",
+    "BY-NC": "Attribution-NonCommercial",
+    "BY-ND": "Attribution-NoDerivatives",
+    "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+    "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
+}
+for _kind, _words in CREATIVE.items():
+    TEMPLATES += tuple(
+        (f"CC-{_kind}-4.0", text)
+        for text in (
+            f"This work is licensed under a Creative Commons {_words} 4.0 International License",
+            f"Licensed under CC {_kind} 4.0",
+            f"CC {_kind} 4.0",
+            f"CC-{_kind}-4.0",
+        )
+    )
+# fixed values: SPDX identifiers of the licenses above
+TAGS = {
+    "BSD": ("BSD-2-Clause", "BSD-3-Clause"),
+    **{x: (x,) for x in ("Apache-2.0", "MIT", "MPL-2.0", *(f"CC-{k}-4.0" for k in CREATIVE))},
+    **{x: (x, f"{x}-only", f"{x}-or-later") for x in ("AGPL-3.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1")},
+}
+TEMPLATES += tuple((name, f"SPDX-License-Identifier: {tag}") for name, tags in TAGS.items() for tag in tags)
+
 _WORD = regex.compile(r"[\p{L}\p{N}]+(?:[.-][\p{L}\p{N}]+)*")
+_VERSION = regex.compile(r"v?\.?([0-9]{1,2}(?:\.[0-9]+)*)")
+#: words that tell licenses apart, by the name they stand for
+NAMES = {w: w for w in ("affero", "lesser", "library", "apache", "mit", "bsd", "mozilla", "eclipse", "cc")}
+NAMES |= {"creative": "cc", "attribution": "by", "sharealike": "sa", "noncommercial": "nc", "noderivatives": "nd", "noderivs": "nd"}
+SHORT = ("by", "sa", "nc", "nd")  # after "cc" only
+
+
+def names(words: list[str]) -> list[str]:
+    """What names a license and its version, in order and in one spelling."""
+    out, after = [], False
+    for word in words:
+        for part in word.split("-"):
+            if m := _VERSION.fullmatch(part):
+                out.append(regex.sub(r"(\.0)+$", "", m[1]))
+                after = False
+            elif part in NAMES or (after and part in SHORT):
+                out.append(NAMES.get(part, part))
+                after = out[-1] == "cc" or (after and part in SHORT)
+            else:
+                after = False
+    return out
+
+
+def is_cue(words: list[str], i: int) -> bool:
+    return words[i] in CUES or words[i].startswith(CUE_STARTS) or (words[i] == "cc" and i + 1 < len(words) and words[i + 1].split("-")[0] == "by")
 
 
 def blocks(words: list[str]) -> list[tuple[int, int]]:
     out: list[list[int]] = []
-    for i, word in enumerate(words):
-        if word in CUES:
+    for i in range(len(words)):
+        if is_cue(words, i):
             start, end = max(0, i - AROUND), min(len(words), i + AROUND + 1)
             if out and start <= out[-1][1]:
                 out[-1][1] = end
@@ -61,27 +116,60 @@ def blocks(words: list[str]) -> list[tuple[int, int]]:
     return [(s, e) for s, e in out]
 
 
-def aligned(template: list[str], words: list[str]) -> tuple[int, int, int, str] | None:
-    """(start, end, words matched, differences) of the best stretch, if it is near enough."""
-    matcher = difflib.SequenceMatcher(None, words, template, autojunk=False)
-    longest = matcher.find_longest_match()
-    if not longest.size:
-        return None
-    low = max(0, longest.a - longest.b - len(template) // 4)
-    high = min(len(words), longest.a - longest.b + len(template) + len(template) // 4 + 1)
+def runs(template: list[str], words: list[str]) -> list[tuple[int, int, int]]:
+    """(size, place in words, place in template) of all longest runs of common words, the longest first."""
+    places: dict[str, list[int]] = {}
+    for j, word in enumerate(template):
+        places.setdefault(word, []).append(j)
+    out, open_runs = [], {}
+    for i, word in enumerate([*words, ""]):
+        here = {j: open_runs.get(j - 1, 0) + 1 for j in places.get(word, ())}
+        out += [(size, i - size, j - size + 1) for j, size in open_runs.items() if j + 1 not in here]
+        open_runs = here
+    return sorted(out, key=lambda r: (-r[0], r[1], r[2]))
+
+
+def aligned(template: list[str], words: list[str], a: int, b: int) -> tuple[int, int, int, int, str] | None:
+    """(start, end, words matched, words that differ, differences) of the stretch
+    around words[a] = template[b], if it is near enough and names the same license."""
+    least = LEAST_MATCHED * len(template)
+    low = max(0, a - b - len(template) // 4)
+    high = min(len(words), a - b + len(template) + len(template) // 4 + 1)
     part = words[low:high]
+    if (Counter(part) & Counter(template)).total() < least:
+        return None
     operations = difflib.SequenceMatcher(None, part, template, autojunk=False).get_opcodes()
     same = [o for o in operations if o[0] == "equal"]
-    matched = sum(o[2] - o[1] for o in same)
-    if matched < LEAST_MATCHED * len(template):
+    size = lambda o: o[2] - o[1]
+    matched = sum(map(size, same))
+    # a stray word before or after the notice is no part of it
+    for end, step in ((0, 1), (-1, -1)):
+        while len(same) > 1 and matched - size(same[end]) >= least:
+            near, far = (same[0], same[1]) if step > 0 else (same[-2], same[-1])
+            if far[1] - near[2] <= size(same[end]):
+                break
+            matched -= size(same.pop(end))
+    if matched < least:
         return None
     start, end = same[0][1], same[-1][2]
-    differ = [
-        f"{kind} '{' '.join(part[a:b])}' / '{' '.join(template[c:d])}'"
-        for kind, a, b, c, d in operations
-        if kind != "equal" and (c < d or start <= a < end)
-    ]
-    return low + start, low + end, matched, "; ".join(differ)
+    if names(part[start:end]) != names(template):
+        return None
+    inside = [("delete" if c == d else "insert" if x == y else "replace", x, y, c, d) for (_, _, x, _, c), (_, y, _, d, _) in zip(same, same[1:])]
+    edges = [("insert", start, start, 0, same[0][3]), *inside, ("insert", end, end, same[-1][4], len(template))]
+    differ = [o for o in edges if o[1] < o[2] or o[3] < o[4]]
+    listed = [f"{kind} '{' '.join(part[x:y])}' / '{' '.join(template[c:d])}'" for kind, x, y, c, d in differ]
+    return low + start, low + end, matched, sum(max(y - x, d - c) for _, x, y, c, d in differ), "; ".join(listed)
+
+
+def notices(template: list[str], words: list[str]) -> list[tuple[int, int, int, int, str]]:
+    """The stretches that are near enough to the template, by the longest run of the rest each."""
+    out, rest = [], 0
+    while longest := runs(template, words[rest:])[:1]:
+        if not (found := aligned(template, words[rest:], *longest[0][1:])):
+            break
+        out.append((rest + found[0], rest + found[1], *found[2:]))
+        rest = out[-1][1]
+    return out
 
 
 def scanner(templates=TEMPLATES, level: int = 3):
@@ -97,21 +185,24 @@ def scanner(templates=TEMPLATES, level: int = 3):
         words = [text[s:e].lower() for s, e in places]
         out = []
         for low, high in blocks(words):
-            block = " ".join(words[low:high]).encode("utf-8", "replace")
+            part = words[low:high]
+            bag = Counter(part)
+            # a block without most of a template's words can't hold it
+            near = [(name, n, c) for name, w, c in known if (bag & Counter(w)).total() >= LEAST_MATCHED * len(w) and (n := notices(w, part))]
+            if not near:
+                continue
+            block = " ".join(part).encode("utf-8", "replace")
             alone = len(plain.compress(block))
-            ranked = sorted(((len(c.compress(block)) - alone, name, i) for i, (name, _, c) in enumerate(known)))
+            found = []
+            for name, stretches, compressor in near:
+                size = len(compressor.compress(block)) - alone
+                found += [(n[3], size, -n[2], name, n) for n in stretches if size < 0 or not n[3]]
             taken: list[tuple[int, int]] = []
-            for size, name, i in ranked:
-                rest = low
-                while size < 0 and rest < high:  # a notice may stand in the block more than once
-                    found = aligned(known[i][1], words[rest:high])
-                    if found is None:
-                        break
-                    start, end = rest + found[0], rest + found[1]
-                    if not any(s < end and start < e for s, e in taken):
-                        taken.append((start, end))
-                        out.append({"license": name, "start": places[start][0], "end": places[end - 1][1], "reduction": -size, "matched": found[2], "differences": found[3]})
-                    rest = end
+            for _, size, _, name, (start, end, matched, _, differences) in sorted(found):
+                if not any(s < end and start < e for s, e in taken):
+                    taken.append((start, end))
+                    first, last = places[low + start][0], places[low + end - 1][1]
+                    out.append({"license": name, "start": first, "end": last, "reduction": -size, "matched": matched, "differences": differences})
         return sorted(out, key=lambda r: (r["start"], r["license"]))
 
     return scan
@@ -126,6 +217,6 @@ def licenses(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
             rows = [{"doc_id": d} | r for d, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()) for r in scan(t)]
             yield {c: [r[c] for r in rows] for c in ("doc_id", "license", "start", "end", "reduction", "matched", "differences")}
 
-    # cues are ASCII: texts without any leave before they are sent to Python
-    cued = docs.select(F.col("doc_id").cast("long"), "text").where(F.lower("text").rlike("|".join(CUES)))
+    # cues are ASCII, and the others begin with these: texts without any leave before they are sent to Python
+    cued = docs.select(F.col("doc_id").cast("long"), "text").where(F.lower("text").rlike("|".join((*CUES, r"\bcc[^a-z0-9]+by"))))
     return arrow_map(cued, run, "doc_id long, license string, start int, end int, reduction int, matched int, differences string")

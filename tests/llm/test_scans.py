@@ -127,3 +127,26 @@ def test_license_notices(docs_of):
     assert license_scan.licenses(docs_of([])).collect() == []
     near = license_scan.licenses(docs_of(["Released under the famous MIT License"])).collect()
     assert [(r.license, r.differences) for r in near] == [("MIT", "delete 'famous' / ''")]
+
+
+def kinds(text):
+    return [(r["license"], text[r["start"] : r["end"]]) for r in license_scan.scanner()(text)]
+
+
+def test_license_version_and_name_decide():
+    r = random.Random(3)
+    prose = "the a of work under license public general version 2 and code is this".split()
+    for version in "23":
+        notice = f"This work is licensed under the GNU General Public License, version {version}"
+        for n in range(60):
+            before, after = (" ".join(r.choice(prose + [f"w{n}", "copyright"]) for _ in range(r.randint(0, 50))) for _ in range(2))
+            assert (f"GPL-{version}.0", notice) in kinds(f"{before}. {notice}. {after}"), (before, after)
+    assert kinds("This work is licensed under the GNU Affero General Public License, version 3.")[0][0] == "AGPL-3.0"
+    assert [k for k, _ in kinds("This work is licensed under a Creative Commons Attribution 4.0 International License")] == ["CC-BY-4.0"]
+    assert kinds("This work is licensed under the GNU General Public License, version 7") == []
+
+
+def test_license_short_forms_and_tags(docs_of):
+    rows = ["Licensed under CC BY-SA 4.0", "see CC BY 4.0 there", "photo: CC-BY-NC-4.0.", "// SPDX-License-Identifier: Apache-2.0", "# SPDX-License-Identifier: GPL-2.0-or-later", "cc by all, success"]
+    out = license_scan.licenses(docs_of(rows)).collect()
+    assert sorted((r.doc_id, r.license) for r in out) == [(0, "CC-BY-SA-4.0"), (1, "CC-BY-4.0"), (2, "CC-BY-NC-4.0"), (3, "Apache-2.0"), (4, "GPL-2.0")]
