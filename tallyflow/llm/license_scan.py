@@ -4,7 +4,7 @@ A *block* is the stretch of words around words that license notices use (``CUES`
 overlapping stretches are one block. Each block is compressed on its own and with
 each notice template as zstandard raw-content dictionary. A template is
 confirmed wherever its words align with the block's words nearly completely and the
-words that name the license and its version agree.
+words that name the license and its version agree; every run of common words is tried.
 Of confirmed stretches that overlap, the one with the fewest differing words stays, then
 the largest reduction; the exact differences are reported. A block may hold several
 notices. A stretch without differences needs no reduction.
@@ -162,14 +162,14 @@ def aligned(template: list[str], words: list[str], a: int, b: int) -> tuple[int,
 
 
 def notices(template: list[str], words: list[str]) -> list[tuple[int, int, int, int, str]]:
-    """The stretches that are near enough to the template, by the longest run of the rest each."""
-    out, rest = [], 0
-    while longest := runs(template, words[rest:])[:1]:
-        if not (found := aligned(template, words[rest:], *longest[0][1:])):
-            break
-        out.append((rest + found[0], rest + found[1], *found[2:]))
-        rest = out[-1][1]
-    return out
+    """All stretches that are near enough to the template, each from its longest run that succeeds."""
+    out: dict[tuple[int, int, int, int, str], None] = {}
+    covered = bytearray(len(words))
+    for _, a, b in runs(template, words):
+        if not covered[a] and (found := aligned(template, words, a, b)):
+            out[found] = None
+            covered[found[0] : found[1]] = b"1" * (found[1] - found[0])
+    return list(out)
 
 
 def scanner(templates=TEMPLATES, level: int = 3):
@@ -197,10 +197,10 @@ def scanner(templates=TEMPLATES, level: int = 3):
             for name, stretches, compressor in near:
                 size = len(compressor.compress(block)) - alone
                 found += [(n[3], size, -n[2], name, n) for n in stretches if size < 0 or not n[3]]
-            taken: list[tuple[int, int]] = []
+            taken = bytearray(len(part))
             for _, size, _, name, (start, end, matched, _, differences) in sorted(found):
-                if not any(s < end and start < e for s, e in taken):
-                    taken.append((start, end))
+                if not any(taken[start:end]):
+                    taken[start:end] = b"1" * (end - start)
                     first, last = places[low + start][0], places[low + end - 1][1]
                     out.append({"license": name, "start": first, "end": last, "reduction": -size, "matched": matched, "differences": differences})
         return sorted(out, key=lambda r: (r["start"], r["license"]))

@@ -150,3 +150,12 @@ def test_license_short_forms_and_tags(docs_of):
     rows = ["Licensed under CC BY-SA 4.0", "see CC BY 4.0 there", "photo: CC-BY-NC-4.0.", "// SPDX-License-Identifier: Apache-2.0", "# SPDX-License-Identifier: GPL-2.0-or-later", "cc by all, success"]
     out = license_scan.licenses(docs_of(rows)).collect()
     assert sorted((r.doc_id, r.license) for r in out) == [(0, "CC-BY-SA-4.0"), (1, "CC-BY-4.0"), (2, "CC-BY-NC-4.0"), (3, "Apache-2.0"), (4, "GPL-2.0")]
+
+
+def test_all_notices_of_a_block_are_found():
+    exact, changed = "Released under the MIT License", "Released under the famous MIT License"
+    assert [w for _, w in kinds(f"{changed}. Some words. {exact}.")] == [changed, exact]
+    assert [w for _, w in kinds(f"{exact}. {changed}. {exact}")] == [exact, changed, exact]
+    # the longest run of common words fails here, the notice after or before it does not
+    assert [w for _, w in kinds(f"Released under the MIT banner. {changed}.")] == [changed]
+    assert [w for _, w in kinds(f"{changed}. Released under the MIT banner of it")] == [changed]
