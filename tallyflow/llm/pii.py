@@ -2,9 +2,10 @@
 
 The base kinds (email, ip, card, phone) are patterns, searched in linear time. The
 field adds what they miss, such as phone numbers without a plus sign or spelled-out
-addresses. It tags the words that hold a digit or an at sign; a word without either
-is always outside, so it splits a text into short sequences that are decoded apart
-with the same result as decoding the whole text. Features are the collapsed shapes
+addresses. It tags the words that hold a digit, an at sign, "(at)" or "[at]", and those
+of "name at host dot org"; any other word is always outside, so it splits a text into
+short sequences that are decoded apart with the same result as decoding the whole text.
+Blanks of every kind part words alike, in training as in scanning. Features are the collapsed shapes
 of a word and its two neighbours and a few marks of the word; weights are trained by
 gradient ascent on the small labelled table ``LABELLED``, once on the driver. Tasks
 decode all sequences of a chunk together, by Viterbi over numpy batches.
@@ -49,7 +50,15 @@ LABELLED = (
     "tel {p:+1} {p:(017)} {p:555-7713} here",
     "mobile {p:0171} {p:5550199} only",
     "write to {e:anna@example} soon",
-    "mail {e:j.doe(at)example.org7} or",
+    "mail {e:j.doe(at)example.org} or",
+    "ask {e:mary[at]example.net} first",
+    "reach {e:tom.b} {e:(at)} {e:example.org} now",
+    "write to {e:sue} {e:at} {e:example} {e:dot} {e:com} today",
+    "it is {e:kim.p} {e:at} {e:mail} {e:dot} {e:example} {e:dot} {e:net} still",
+    "mail {e:lee} {e:[at]} {e:example.com} or call",
+    "contact {e:ann} {e:at} {e:host} {e:dot} {e:org} for it",
+    "she looked at the dot on paper",
+    "they point at every dot in sight",
     "contact {e:bob42@localhost} for help",
     "from {e:info@mail4.example.com} we",
     "address {e:<k.lee@example.net>} given",
@@ -118,7 +127,13 @@ def base_spans(text: str) -> list[Span]:
 # the field
 
 _EDGE = "\"'`,;!?|<>*#$%&"
-_SIGNS = re.compile(r"[0-9@]")
+_AT = re.compile(r"@|[(\[]at[)\]]", re.I)
+_SIGNS = re.compile(
+    r"[0-9@]|[(\[]at[)\]]"
+    r"|(?<!\S)\S++\s++(?:[(\[]at[)\]]\s++\S++|at\s++\S++(?=\s++dot\s))(?:\s++[(\[]?dot[)\]]?\s++\S++)*",
+    re.I,
+)
+_ENDINGS = frozenset(("com", "org", "net", "edu", "gov", "info", "io", "uk", "de", "fr", "es", "it", "nl", "eu"))
 
 
 def shape(word: str) -> str:
@@ -128,16 +143,23 @@ def shape(word: str) -> str:
     return re.sub(r"([^0])\1+", r"\1", word)
 
 
+def spelled(word: str) -> str:
+    """The part that a word has in a spelled-out address, if any."""
+    word = word.lower().strip("()[]")
+    return word if word in ("at", "dot") else "ending" if word in _ENDINGS else ""
+
+
 def marks(word: str) -> list[str]:
     digits = sum(c.isdigit() for c in word)
     return [
         f"digits={min(digits, 20) // 2}",
-        f"at={'@' in word or '(at)' in word}",
+        f"at={bool(_AT.search(word))}",
         f"dots={min(word.count('.'), 4)}",
         f"colons={min(word.count(':'), 3)}",
         f"letters={any(c.isalpha() for c in word)}",
         f"first={shape(word)[:1]}",
         f"dash={min(word.count('-'), 3)}",
+        f"spelled={spelled(word)}",
     ]
 
 
@@ -145,7 +167,8 @@ def featured(words: list[str], at: int) -> list[str]:
     """Features of one word among its neighbours (empty at the border)."""
     before = shape(words[at - 1]) if at else ""
     after = shape(words[at + 1]) if at + 1 < len(words) else ""
-    return [f"shape={shape(words[at])}", f"before={before}", f"after={after}", *marks(words[at])]
+    beside = [spelled(words[i]) if 0 <= i < len(words) else "" for i in (at - 1, at + 1)]
+    return [f"shape={shape(words[at])}", f"before={before}", f"after={after}", f"beside={'/'.join(beside)}", *marks(words[at])]
 
 
 def labelled_sequences(table=LABELLED) -> list[tuple[list[list[str]], list[int]]]:
@@ -153,19 +176,13 @@ def labelled_sequences(table=LABELLED) -> list[tuple[list[list[str]], list[int]]
     initials = {label[0]: i for i, label in enumerate(LABELS) if i}
     out = []
     for line in table:
-        words, labels = [], []
-        for word in line.split():
-            m = re.fullmatch(r"\{([eicp]):(.*)\}", word)
-            words.append(m[2].strip(_EDGE) if m else word.strip(_EDGE))
-            labels.append(initials[m[1]] if m else 0)
-        run: tuple[list, list] = ([], [])
-        for i, word in enumerate([*words, ""]):
-            if _SIGNS.search(word):
-                run[0].append(featured(words, i))
-                run[1].append(labels[i])
-            elif run[0]:
-                out.append(run)
-                run = ([], [])
+        words = [(m[2], initials[m[1]]) if (m := re.fullmatch(r"\{([eicp]):(.*)\}", w)) else (w, 0) for w in line.split()]
+        text = " ".join(w for w, _ in words)
+        labels, at = {}, 0  # by the place where a word begins
+        for word, label in words:
+            labels[at] = label
+            at += len(word) + 1
+        out += [(sequence(text, run), [labels[start] for start, _ in run]) for run in signed_runs(text)]
     return out
 
 
@@ -251,7 +268,7 @@ def train(table=LABELLED, steps: int = 200, rate: float = 0.3, decay: float = 0.
 
 
 def signed_runs(text: str) -> list[list[tuple[int, int]]]:
-    """Places of the words with a digit or an at sign, in runs that only blanks part."""
+    """Places of the words with a sign of personal data, in runs that only blanks part."""
     runs: list[list[tuple[int, int]]] = []
     past = 0
     while m := _SIGNS.search(text, past):
@@ -260,10 +277,9 @@ def signed_runs(text: str) -> list[list[tuple[int, int]]]:
             start -= 1
         while end < len(text) and not text[end].isspace():
             end += 1
-        if runs and text[runs[-1][-1][1] : start].strip(" \t") == "":
-            runs[-1].append((start, end))
-        else:
-            runs.append([(start, end)])
+        if not runs or text[runs[-1][-1][1] : start].strip():
+            runs.append([])
+        runs[-1] += [(start + w.start(), start + w.end()) for w in re.finditer(r"\S+", text[start:end])]
         past = end
     return runs
 
@@ -275,6 +291,12 @@ def neighbour(text: str, at: int, step: int) -> str:
     return words[-1 if step < 0 else 0].strip(_EDGE) if words else ""
 
 
+def sequence(text: str, run: list[tuple[int, int]]) -> list[list[str]]:
+    """Features of a run's words, among the words beside it."""
+    words = [neighbour(text, run[0][0], -1), *(text[s:e].strip(_EDGE) for s, e in run), neighbour(text, run[-1][1], 1)]
+    return [featured(words, i) for i in range(1, len(run) + 1)]
+
+
 def trimmed(text: str, start: int, end: int) -> tuple[int, int]:
     while start < end and text[start] in _EDGE:
         start += 1
@@ -289,10 +311,7 @@ def scanner(field: Field):
         runs = signed_runs(text)
         if not runs:
             return base, []
-        emissions = []
-        for run in runs:
-            words = [neighbour(text, run[0][0], -1), *(text[s:e].strip(_EDGE) for s, e in run), neighbour(text, run[-1][1], 1)]
-            emissions.append(field.emissions([featured(words, i) for i in range(1, len(run) + 1)]))
+        emissions = [field.emissions(sequence(text, run)) for run in runs]
         more = []
         for run, labels in zip(runs, field.viterbi(emissions)):
             at = 0

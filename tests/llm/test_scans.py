@@ -111,6 +111,24 @@ def test_field_finds_what_the_patterns_miss():
     assert found("write to a.b@example.org now") == []  # a base span already
 
 
+def test_field_finds_spelled_out_addresses(docs_of):
+    scan = pii.scanner(pii.train())
+    found = lambda t: [(t[s:e], k) for s, e, k in scan(t)[1]]
+    for address in ("anna.lee(at)example.org", "anna.lee[at]example.org", "bob (at) example.com", "anna at example dot org", "j.r.lee at mail dot example dot com"):
+        assert found(f"you can write to {address} about it") == [(address, "crf_email")], address
+        row = spans.digest(pii.personal_data(docs_of([f"to {address}\nnow"])), pii.BASE).collect()[0] if "(at)" in address else None
+        assert row is None or row.spans.startswith("crf_email:3:")
+    assert found("we looked at the dot on a map") == found("they sat at the table") == []
+
+
+def test_field_parts_words_at_blanks_of_every_kind():
+    scan = pii.scanner(pii.train())
+    for text in ("tel 555-0198 12 units (212) 555-0143 now", "dial 001 212 555 0188 tonight", "ask anna at example dot org first"):
+        want = scan(text)[1]
+        for blank in ("\n", "\u00a0", "\u2003", "\t"):
+            assert scan(text.replace(" ", blank))[1] == want
+
+
 def test_license_notices(docs_of):
     rows = ["Some prose.\nReleased under the MIT License.\nMore prose of it.", "licensed under the apache license version 2.0"]
     rows += ["A license to print money.", None, "", "Licensed under CC BY-NC 4.0. " + "word " * 200 + "Licensed under CC BY-NC 4.0.", "This work is licensed under the GNU General Public License, version 2."]
