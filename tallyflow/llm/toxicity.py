@@ -175,63 +175,6 @@ def shared_lower(grams: DataFrame) -> DataFrame:
             even = DISCOUNT * kinds_seen / total / (1 << BITS)
             low = table.select("gram", (F.greatest(F.col("n") - DISCOUNT, F.lit(0.0)) / total + even).alias("p"))
             continue
-        at = bucket(grams, GRAM_BITS)
-        llr = np.where(gram_seen[at], gram_llr[at], context_llr[bucket(grams >> BITS, CONTEXT_BITS)])
-        last = s[ORDER - 1 :]
-        stops = np.flatnonzero(last == 0)  # a word's n-grams end with its blank
-        if not len(stops) or stops[-1] != len(last) - 1:
-            stops = np.append(stops, len(last) - 1)
-        total = np.add.reduceat(llr, np.concatenate(([0], stops[:-1] + 1)))
-        length = np.diff(np.concatenate(([-1], stops)))
-        words = np.sort(total / np.maximum(length, WORD_FLOOR))[::-1]
-        out[i] = llr.mean(), words[0], words[:3].mean(), words[: max(1, len(words) // 50)].mean(), np.log(len(words))
-    return out
-
-
-def count_grams(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(gram, n0, n1): counts of the top order in ordinary and toxic texts."""
-    labels = labels.select(F.col("doc_id").alias("__id"), F.col("toxic").cast("int").alias("__toxic")).where("__toxic in (0, 1)")
-    rows = docs.select("doc_id", "text").where(fold("doc_id").isin(*COUNT_FOLDS))
-    # sorted and merged at every size: labels may grow with the documents
-    rows = rows.join(labels.hint("merge"), F.col("doc_id") == F.col("__id"))
-
-    def run(batches):
-        codes = _symbols()
-        for batch in text_chunks(batches, CHUNK_BYTES):
-            toxic = np.array(batch.column("__toxic").to_pylist())
-            texts = batch.column("text").to_pylist()
-            for label in (0, 1):
-                chosen = [t for t, x in zip(texts, toxic) if x == label and t]
-                symbols, sizes = symbols_of(chosen, codes)
-                grams = grams_of(symbols)
-                inside = np.ones(len(grams), bool)  # not across two texts
-                for end in np.cumsum(sizes)[:-1]:
-                    inside[max(0, end - ORDER + 1) : end] = False
-                values, n = np.unique(grams[inside], return_counts=True)
-                yield {"gram": values, "n0": n * (label == 0), "n1": n * (label == 1)}
-
-    counted = arrow_map(rows.select("text", "__toxic"), run, "gram long, n0 long, n1 long")
-    return counted.groupBy("gram").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-
-
-def shared_lower(grams: DataFrame) -> DataFrame:
-    """(gram, lower): each top-order gram with the shared probability of its last
-    symbol after its shortened context, by continuation counts of all lower orders."""
-    mask = lambda k: (1 << (BITS * k)) - 1
-    kinds = grams.select("gram")
-    tables = []
-    for k in range(ORDER - 1, 0, -1):  # continuation count: distinct longer grams with this suffix
-        kinds = kinds.groupBy(F.col("gram").bitwiseAND(F.lit(mask(k))).alias("gram")).agg(F.count("*").alias("n"))
-        tables.append((k, kinds))
-    low = None
-    for k, table in reversed(tables):
-        if k == 1:
-            total = table.agg(F.sum("n").alias("t"), F.count("*").alias("m"))
-            uniform = 1.0 / (1 << BITS)
-            low = table.join(F.broadcast(total)).select(
-                "gram", (F.greatest(F.col("n") - DISCOUNT, F.lit(0.0)) / F.col("t") + DISCOUNT * F.col("m") / F.col("t") * uniform).alias("p")
-            )
-            continue
         context = table.groupBy(F.shiftright("gram", BITS).alias("h")).agg(F.sum("n").alias("t"), F.count("*").alias("m"))
         parts = table.withColumn("h", F.shiftright("gram", BITS)).join(context, "h")
         parts = parts.withColumn("suffix", F.col("gram").bitwiseAND(F.lit(mask(k - 1))))

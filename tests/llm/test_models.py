@@ -86,6 +86,15 @@ def test_toxicity_tables_are_exact(spark, docs_of):
     assert model.features(["aaaa", "cccc"], codes)[0, 0] < 0 < model.features(["aaaa", "cccc"], codes)[1, 0]
 
 
+def test_lowest_order_needs_no_join(spark):
+    import inspect
+
+    source = inspect.getsource(toxicity)
+    assert source.count("def shared_lower(") == source.count("def count_grams(") == 1
+    frame = spark.createDataFrame([(int(g),) for g in (0, 1, 65, 4097)], "gram long")
+    assert "NestedLoop" not in toxicity.shared_lower(frame)._jdf.queryExecution().toString()
+
+
 def plain_bm25(texts, k):
     words = {i: regex.findall(r"[\p{L}\p{N}]+", (t or "").lower()) for i, t in texts.items()}
     n, mean = len(words), sum(map(len, words.values())) / max(1, len(words))
