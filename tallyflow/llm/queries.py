@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyflow.llm import bpe, decontam, langid, license_scan, linededup, neardup, pii, search, secret_scan, spans, toxicity
+from tallyflow.llm import bpe, decontam, langid, license_scan, linededup, neardup, pii, search, secret_scan, spans, toxicity, winnow
 from tallyflow.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +75,10 @@ def op10_bm25_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.search(docs, docs.where("doc_id % 50 = 0").select(F.col("doc_id").alias("query_id"), "text"))
 
 
+def op11_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.fingerprints(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_spaced_seeds": op1_spaced_seeds,
     "op2_license_zstd": op2_license_zstd,
@@ -86,6 +90,7 @@ QUERIES: dict[str, Query] = {
     "op8_lang_zstd": op8_lang_zstd,
     "op9_bpe_trie": op9_bpe_trie,
     "op10_bm25_wand": op10_bm25_wand,
+    "op11_winnowing": op11_winnowing,
 }
 
 ORACLE: dict[str, str] = {}
