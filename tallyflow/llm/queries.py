@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyflow.llm import bpe, decontam, langid, license_scan, linededup, neardup, pii, search, secret_scan, spans, toxicity, winnow
+from tallyflow.llm import bpe, centroids, decontam, langid, license_scan, linededup, neardup, periodic, pii, search, secret_scan, spans, toxicity, winnow
 from tallyflow.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +79,15 @@ def op11_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of the texts with the periodic tails that ids with crc32 divisible by ten get."""
+    return periodic.describe(table(spark, sf_dir, "documents"), periodic.planted)
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_spaced_seeds": op1_spaced_seeds,
     "op2_license_zstd": op2_license_zstd,
@@ -91,6 +100,8 @@ QUERIES: dict[str, Query] = {
     "op9_bpe_trie": op9_bpe_trie,
     "op10_bm25_wand": op10_bm25_wand,
     "op11_winnowing": op11_winnowing,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_centroids": op13_centroids,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op13_centroids": centroids.oracle_sql()}

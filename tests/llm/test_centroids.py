@@ -1,0 +1,118 @@
+"""Clusters against plain integer arithmetic over all centroids."""
+
+import hashlib
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import types as T
+
+from tallyflow.llm import centroids
+from tallyflow.llm.queries import op13_centroids
+
+SCHEMA = T.StructType(
+    [
+        T.StructField("vec_id", T.LongType()),
+        T.StructField("embedding", T.ArrayType(T.DoubleType())),
+        T.StructField("cluster", T.StringType()),  # names the operator uses itself
+        T.StructField("distance", T.LongType()),
+        T.StructField("vector", T.LongType()),
+    ]
+)
+
+
+def plain(rows, k=40, rounds=5):
+    kept = [(i, v) for i, v in rows if v is not None and len(v) == 64 and all(x is not None and math.isfinite(x) for x in v)]
+    whole = lambda x: int(x) * 256 if abs(x) > 2**53 else math.floor(x * 256)
+    order = sorted((hashlib.sha256(f"2:{i}".encode()).hexdigest(), v) for i, v in kept if i is not None)
+    kept = [(i, [whole(x) for x in v]) for i, v in kept]
+    centres = [[whole(x) for x in v] for _, v in order[:k]]
+    if not centres:
+        return []
+
+    def nearest(v):
+        return min((sum((x - y) ** 2 for x, y in zip(v, c)), n) for n, c in enumerate(centres))
+
+    for _ in range(rounds):
+        groups = {}
+        for _, v in kept:
+            groups.setdefault(nearest(v)[1], []).append(v)
+        centres = [[sum(col) // len(groups[n]) for col in zip(*groups[n])] if n in groups else c for n, c in enumerate(centres)]
+    found = [(i, *nearest(v)[::-1]) for i, v in kept]
+    fit = lambda d: d if d < 1 << 63 else None
+    sums = {n: sum(d for _, m, d in found if m == n) for n in range(len(centres))}
+    sha = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centres]
+    return sorted(((i, n, fit(d), fit(sums[n]), fit(sum(sums.values())), sha[n]) for i, n, d in found), key=str)
+
+
+def found(spark, rows, **kw):
+    out = centroids.clusters(spark.createDataFrame([(i, v, "c", 1, 2) for i, v in rows], SCHEMA), **kw)
+    assert out.columns == ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"]
+    return sorted((tuple(r) for r in out.collect()), key=str)
+
+
+def vectors(n, seed, spread=1.0):
+    r = random.Random(seed)
+    centres = [[r.gauss(0, spread) for _ in range(64)] for _ in range(6)]
+    return [(i, [x + r.gauss(0, 0.2 * spread) for x in r.choice(centres)]) for i in range(n)]
+
+
+def test_whole_table(spark):
+    import duckdb
+
+    rows = duckdb.sql("SELECT vec_id, embedding FROM '/root/testdata/sf0.001/embeddings.parquet'").fetchall()
+    got = sorted((tuple(r) for r in op13_centroids(spark, "/root/testdata/sf0.001").collect()), key=str)
+    assert got == plain(rows)
+
+
+def test_left_out_vectors_nulls_and_repeated_ids(spark):
+    rows = vectors(120, 1)
+    bad = [(500, None), (501, []), (502, [0.5] * 63), (503, [0.5] * 65), (504, [None] + [0.5] * 63), (505, [math.nan] * 64), (506, [math.inf] + [0.0] * 63)]
+    rows += bad + [(None, [0.25] * 64), (None, [9.0] * 64), (7, [0.1] * 64), (7, [0.1] * 64)]
+    assert found(spark, rows) == plain(rows)
+
+
+def test_ties_and_empty_clusters(spark):
+    """Equal vectors as centroids: only the first of them is ever chosen, the others stay as they are."""
+    rows = [(i, [float(i % 3)] * 64) for i in range(60)]
+    got = found(spark, rows)
+    assert got == plain(rows) and len({r[1] for r in got}) == 3
+    square = [(i, [[1.0, -1.0][i >> b & 1] for b in range(2)] + [0.0] * 62) for i in range(4)]  # equally far from a centre
+    assert found(spark, square + [(9, [0.0] * 64)], k=4) == plain(square + [(9, [0.0] * 64)], k=4)
+
+
+def test_few_or_no_vectors(spark):
+    assert found(spark, []) == []
+    assert found(spark, [(1, [1.0] * 3), (None, [1.0] * 64)]) == []
+    assert found(spark, vectors(5, 3)) == plain(vectors(5, 3))
+
+
+@pytest.mark.parametrize("spread", [3e3, 3e7, 1e200])
+def test_large_numbers_stay_exact(spark, spread):
+    """Beyond float64's whole numbers; a distance that does not fit a long is null."""
+    rows = vectors(30, 4) + [(100 + i, v) for i, v in vectors(40, 5, spread)]
+    got = found(spark, rows, k=12, rounds=3)
+    assert got == plain(rows, 12, 3)
+    assert any(r[2] is None for r in got) == (spread > 1e6)
+
+
+def test_search_leaves_out_only_strictly_worse_centroids():
+    r = np.random.default_rng(1)
+    centres = r.integers(-300, 300, (40, 64)).astype(float)
+    rows = np.concatenate([centres[r.integers(0, 40, 3000)] + r.integers(-9, 9, (3000, 64)), r.integers(-2, 2, (1000, 64)).astype(float)])
+    centres = np.concatenate([centres, centres[:7], -centres[:5]])  # ties of whole centroids
+    numbers, sums, finished = centroids.nearest(centroids.transformed(rows), centroids.transformed(centres))
+    every = ((rows[:, None] - centres[None]) ** 2).sum(axis=2)
+    assert (numbers == every.argmin(axis=1)).all() and (sums == 64 * every.min(axis=1)).all()
+    assert finished < len(rows) * len(centres) / 3
+
+
+def test_transform_is_exact():
+    r = np.random.default_rng(2)
+    rows = r.integers(-(1 << 18), 1 << 18, (50, 64)).astype(float)
+    coefficients = centroids.transformed(rows)
+    assert (coefficients**2).sum() == 64 * (rows**2).sum()
+    assert (coefficients[:, 0] == rows.sum(axis=1)).all()
+    for total in (0, -1, 5, -(1 << 31), 1 << 31, -(1 << 90) + 3, 1 << 200):
+        assert centroids.from_limbs(dict(enumerate(centroids.limbs(total)))) == total
