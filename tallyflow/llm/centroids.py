@@ -81,7 +81,7 @@ def nearest(vectors: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarray, np.
     if not len(vectors):
         return np.zeros(0, np.int64), np.zeros(0), 0
     if vectors.dtype == object or centroids.dtype == object:
-        vectors, centroids = vectors.astype(object), centroids.astype(object)
+        vectors, centroids = (x if x.dtype == object else x.astype(np.int64).astype(object) for x in (vectors, centroids))
         sums = np.stack([((vectors - c) ** 2).sum(axis=1) for c in centroids], axis=1)
         return sums.argmin(axis=1), sums.min(axis=1), sums.size
     sums = np.zeros((len(vectors), len(centroids)))
