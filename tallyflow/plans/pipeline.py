@@ -21,6 +21,7 @@ from tallyflow.session import path_bytes, path_exists, scratch_path, sized_for,
 from tallyflow.sources import publish as pub
 from tallyflow.sources.tables import TABLES
 from tallyflow.streaming import bronze as bronze_stream
+from tallyflow.streaming import ledger
 
 TABLE_PARTITIONS = {name: t.partitions for name, t in TABLES.items()}
 TABLE_COMMENTS = {name: t.comment for name, t in TABLES.items()}
@@ -42,12 +43,12 @@ class Warehouse:
     def write(self, df: DataFrame, name: str) -> pub.WriteMetrics:
         table = TABLES[name]
         df = df.select(*table.schema.fieldNames())
-        return pub.publish(df, self.path(name), name, table.partitions, table.coded, self.fmt)
+        return pub.publish(df, self.path(name), name, table.partitions, table.coded, self.fmt, table.comment, table.properties)
 
     def append_bronze(self, df: DataFrame, run_id: str) -> pub.WriteMetrics:
         """Append a batch under its run's name; the same name again replaces it."""
-        added, total = bronze_stream.write_batch(df, self.path(BRONZE), "run", run_id, self.fmt)
-        return pub.WriteMetrics(BRONZE, added, total)
+        added = bronze_stream.write_batch(df, self.path(BRONZE), "run", run_id, self.fmt)
+        return pub.WriteMetrics(BRONZE, added, ledger.state(df.sparkSession, self.path(BRONZE), self.fmt).total)
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
         table = TABLES[name]

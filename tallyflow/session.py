@@ -149,6 +149,12 @@ def path_bytes(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
 
 
+def modified(spark: SparkSession, path: str) -> float:
+    """Seconds since the epoch at which the file or folder last changed."""
+    fs, p = _file(spark, path)
+    return fs.getFileStatus(p).getModificationTime() / 1000
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """A small control file's text."""
     fs, p = _file(spark, path)
@@ -159,15 +165,50 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def create_file(spark: SparkSession, path: str, text: str) -> None:
+    """Write a new small file; an existing one is an error."""
+    fs, p = _file(spark, path)
+    stream = fs.create(p, False)
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()
+
+
+def _rename(spark: SparkSession, source: str, target: str, how: str) -> None:
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    _, p = _file(spark, source)
+    kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = gateway.new_array(kind, 1)
+    options[0] = getattr(kind, how)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(context.makeQualified(p), context.makeQualified(jvm.org.apache.hadoop.fs.Path(target)), options)
+
+
+def rename_new(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a file unless the new name is taken; whether it was renamed."""
+    from py4j.protocol import Py4JJavaError
+
+    try:
+        _rename(spark, source, target, "NONE")
+    except Py4JJavaError as error:
+        if error.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
+            return False
+        raise
+    return True
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Replace a small control file: written aside, then renamed over the old one."""
+    """Replace a small control file in one step: written aside, then renamed over it."""
+    aside = f"{path}.{uuid.uuid4().hex[:8]}"
+    create_file(spark, aside, text)
+    _rename(spark, aside, path, "OVERWRITE")
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none where it doesn't exist."""
     fs, p = _file(spark, path)
-    aside = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex[:8]}")
-    stream = fs.create(aside, True)
-    stream.write(text.encode())
-    stream.close()
-    fs.delete(p, False)
-    fs.rename(aside, p)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
 
 def remove(spark: SparkSession, path: str) -> None:

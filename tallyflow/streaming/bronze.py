@@ -4,14 +4,13 @@ S1 ``bronze_stream``     file-source stream over the raw root, fixed schema
 S5 ``append_bronze``     append-only table with a persisted checkpoint;
                          a re-run picks up only files it has not seen
 S8 ``land_stream``       streaming GZIP NDJSON landing by delivery hour
-S16 ``ledger``           rows added and in all, without reading the table
+S16 ``ledger``           rows added and in all, without reading the table (``streaming.ledger``)
 
 Bronze has one writer, ``write_batch``: a micro-batch of a stream and a batch
 delivery both go to a folder of their own (``ingest=<kind>-<name>-<batch>``), which
 a retry replaces. So both are readable together, a batch that ran twice counts
 once, and no file log has to be compacted on the driver. The ledger beside the
-folders keeps the counts: a total, the last batch of each stream (only that one can
-be retried) and the rows of each named delivery.
+folders is a log of opened and booked batches; what it has lost is counted anew.
 
 Every micro-batch is bounded (``maxFilesPerTrigger``) and ``availableNow`` drains
 the backlog in such batches, so a 100 TB backlog is a sequence of bounded jobs.
@@ -21,7 +20,6 @@ larger ones must be asked to do so too.
 
 from __future__ import annotations
 
-import json
 import os
 import uuid
 
@@ -32,10 +30,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallyflow.session import is_file, path_exists, read_text, write_text
 from tallyflow.sources import raw
+from tallyflow.sources.commits import TableStateError
 from tallyflow.sources.schema import bronze_read_schema
+from tallyflow.streaming import ledger
+from tallyflow.streaming.ledger import INGEST
 
-LEDGER = "_ledger.json"
-INGEST = "ingest"
 #: a file is new however old it is: back-fills keep their old modification times
 ANY_AGE = "36500d"
 
@@ -63,41 +62,34 @@ def bronze_stream(
     return raw.bronze_projection(reader.load(raw_root))
 
 
-def ledger(spark: SparkSession, table_path: str) -> dict:
-    path = f"{table_path}/{LEDGER}"
-    if not path_exists(spark, path):
-        if path_exists(spark, f"{table_path}/_spark_metadata"):
-            raise ValueError(f"{table_path} belongs to a streaming file sink; readers would ignore other files in it")
-        return {"total": 0, "streams": {}, "runs": {}}
-    return json.loads(read_text(spark, path))
+def refuse_sink(spark: SparkSession, table_path: str) -> None:
+    if path_exists(spark, f"{table_path}/_spark_metadata"):
+        raise ValueError(f"{table_path} belongs to a streaming file sink; readers would ignore other files in it")
 
 
-def write_batch(
-    df: DataFrame, table_path: str, kind: str, name: str, fmt: str = "parquet", batch: int = 0
-) -> tuple[int, int]:
+def write_batch(df: DataFrame, table_path: str, kind: str, name: str, fmt: str = "parquet", batch: int = 0) -> int:
     """Write one batch to its own folder (again: in its place) and book its rows.
-    Returns the rows it adds to what the ledger held, and the total."""
+    Returns the rows it adds to those booked for it before."""
     spark = df.sparkSession
-    book = ledger(spark, table_path)
+    refuse_sink(spark, table_path)
+    known = ledger.folded(spark, table_path)
+    if known.tail >= ledger.COMPACT:
+        ledger.compact(spark, table_path)
+    ledger.begin(spark, table_path, kind, name, batch)
     obs = Observation(f"bronze_{uuid.uuid4().hex[:8]}")
     written = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode("overwrite")
-    written.option("partitionOverwriteMode", "static").save(f"{table_path}/{INGEST}={kind}-{name}-{batch}")
+    written.option("partitionOverwriteMode", "static").save(f"{table_path}/{ledger.folder(kind, name, batch)}")
     rows = int(obs.get["rows"])
-    if kind == "stream":
-        last, booked = book["streams"].get(name, [-1, 0])
-        before = booked if last == batch else 0
-        book["streams"][name] = [batch, rows]
-    else:
-        before = book["runs"].get(name, 0)
-        book["runs"][name] = rows
-    book["total"] += rows - before
-    write_text(spark, f"{table_path}/{LEDGER}", json.dumps(book))
-    return rows - before, book["total"]
+    ledger.book(spark, table_path, kind, name, batch, rows)
+    return rows - known.booked(kind, name, batch)
 
 
 def read_bronze(spark: SparkSession, table_path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
-    """All batches in the stored columns and order; no batch yet: no rows."""
-    if not ledger(spark, table_path)["streams"] and not ledger(spark, table_path)["runs"]:
+    """All batches in the stored columns and order; no batch yet: no rows. A ledger
+    with rows and no folder to hold them is an error."""
+    if not ledger.folders(spark, table_path):
+        if ledger.folded(spark, table_path).total:
+            raise TableStateError(f"{table_path} has lost its batch folders")
         return spark.createDataFrame([], schema)
     whole = T.StructType([*schema.fields, T.StructField(INGEST, T.StringType())])
     return spark.read.format(fmt).schema(whole).load(table_path).select(*schema.fieldNames())
@@ -117,7 +109,7 @@ def append_bronze(
     if not path_exists(spark, mark):
         write_text(spark, mark, uuid.uuid4().hex[:12])
     stream_id = read_text(spark, mark).strip()
-    before = ledger(spark, table_path)["total"]
+    before = ledger.state(spark, table_path, fmt).total
 
     def write(batch: DataFrame, number: int) -> None:
         write_batch(batch, table_path, "stream", stream_id, fmt, number)
@@ -126,7 +118,7 @@ def append_bronze(
     if name:
         writer = writer.queryName(name)
     writer.start().awaitTermination()
-    total = ledger(spark, table_path)["total"]
+    total = ledger.state(spark, table_path, fmt).total
     return total - before, total
 
 

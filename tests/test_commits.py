@@ -1,0 +1,216 @@
+"""Crash safety of control files: whatever is lost or half done, readers see a whole
+state, and totals are those of the rows."""
+
+import glob
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyflow.plans import pipeline
+from tallyflow.session import scratch_path, write_text
+from tallyflow.sources import commits, publish
+from tallyflow.sources.tables import TABLES
+from tallyflow.streaming import bronze, ledger
+
+
+def local(path):
+    return path[len("file:"):] if path.startswith("file:") else path
+
+
+def rows(spark, *values):
+    return spark.createDataFrame([(v,) for v in values], "n int")
+
+
+def published(spark, path, schema, **kw):
+    return sorted(r.n for r in publish.read_published(spark, path, schema, **kw).collect())
+
+
+# the log
+
+
+def test_numbers_are_taken_once_and_damaged_entries_do_not_count(spark):
+    log = scratch_path(spark, "log")
+    assert commits.latest(spark, log) is None
+    assert [commits.append(spark, log, {"n": i}) for i in range(3)] == [1, 2, 3]
+    # a second writer that saw the same numbers
+    seen = commits.numbers
+    tries = []
+    commits.numbers = lambda *a: tries.append(1) or (seen(*a)[:-1] if len(tries) == 1 else seen(*a))
+    try:
+        assert commits.append(spark, log, lambda n: {"n": n}) == 4
+    finally:
+        commits.numbers = seen
+    assert len(tries) == 2 and [commits.load(spark, log, n)["n"] for n in (1, 2, 3, 4)] == [0, 1, 2, 4]
+    with open(f"{local(log)}/{4:020d}.json", "r+") as f:  # half a file
+        f.truncate(12)
+    assert commits.latest(spark, log) == (3, {"n": 2}) and commits.append(spark, log, {"n": 9}) == 5
+    assert not [f for f in os.listdir(local(log)) if f.startswith(".") and f.endswith("json")]
+
+
+def test_a_control_file_is_replaced_in_one_step(spark):
+    path = f"{scratch_path(spark, 'text')}/mark"
+    for text in ("a", "bb", "c"):
+        write_text(spark, path, text)
+        assert open(local(path)).read() == text
+    assert [f for f in os.listdir(os.path.dirname(local(path))) if not f.endswith(".crc")] == ["mark"]
+
+
+# published tables
+
+
+STEPS = ["write_version", "append", "expire"]
+
+
+@pytest.mark.parametrize("step", STEPS)
+def test_publish_stopped_at_any_step(spark, monkeypatch, step):
+    path = scratch_path(spark, "stopped")
+    schema = rows(spark).schema
+    publish.publish(rows(spark, 1, 2), path, "t")
+    owner, real = (commits, commits.append) if step == "append" else (publish, getattr(publish, step))
+    for before in (True, False):  # stopped just before the step, and just after it
+
+        def stopped(*a, _before=before, **kw):
+            if not _before:
+                real(*a, **kw)
+            raise KeyboardInterrupt(step)
+
+        monkeypatch.setattr(owner, step, stopped)
+        with pytest.raises(KeyboardInterrupt):
+            publish.publish(rows(spark, 7), path, "t")
+        monkeypatch.undo()
+        committed = step == "expire" or (step == "append" and not before)
+        assert published(spark, path, schema) == ([7] if committed else [1, 2])
+        publish.publish(rows(spark, 1, 2), path, "t")
+    assert published(spark, path, schema) == [1, 2]
+
+
+def test_open_readers_and_earlier_versions_still_answer(spark):
+    path = scratch_path(spark, "versions")
+    schema = rows(spark).schema
+    publish.publish(rows(spark, 1), path, "t", keep=2)
+    early = publish.read_published(spark, path, schema)
+    publish.publish(rows(spark, 2, 3), path, "t", keep=2)
+    assert [r.n for r in early.collect()] == [1]
+    assert published(spark, path, schema) == [2, 3] and published(spark, path, schema, version=1) == [1]
+    publish.publish(rows(spark, 4), path, "t", keep=2)
+    assert [m["number"] for m in publish.history(spark, path)] == [3, 2]
+    with pytest.raises(commits.TableStateError, match="no version 1"):
+        publish.read_published(spark, path, schema, version=1)
+    assert len(glob.glob(f"{local(path)}/v-*")) == 2
+
+
+def test_lost_and_damaged_manifests(spark):
+    path = scratch_path(spark, "lost")
+    schema = rows(spark).schema
+    assert published(spark, path, schema) == []  # never published
+    publish.publish(rows(spark, 1), path, "t")
+    publish.publish(rows(spark, 2), path, "t")
+    first, second = sorted(glob.glob(f"{local(path)}/_commits/*.json"))
+    with open(second, "a") as f:
+        f.write("x")
+    assert published(spark, path, schema) == [1]
+    os.remove(first)
+    with pytest.raises(commits.TableStateError):
+        published(spark, path, schema)
+    publish.publish(rows(spark, 5), path, "t")
+    assert published(spark, path, schema) == [5]
+
+
+def test_comment_properties_and_schema_are_kept(spark):
+    wh = pipeline.Warehouse(scratch_path(spark, "described"))
+    wh.write(spark.createDataFrame([], TABLES["dim_status"].schema), "dim_status")
+    (found,) = publish.history(spark, wh.path("dim_status"))
+    table = TABLES["dim_status"]
+    assert (found["comment"], found["properties"], found["rows"], found["format"]) == (table.comment, table.properties, 0, "parquet")
+    assert [f["name"] for f in found["schema"]["fields"]] == table.schema.fieldNames()
+
+
+def test_vacuum_takes_only_old_orphans(spark):
+    path = scratch_path(spark, "orphans")
+    publish.publish(rows(spark, 1), path, "t")
+    publish.write_version(rows(spark, 2), path, "t", (), (), "parquet")
+    assert publish.vacuum(spark, path) == []
+    assert len(publish.vacuum(spark, path, older_than_hours=-1)) == 1
+    assert published(spark, path, rows(spark).schema) == [1]
+
+
+# the bronze ledger
+
+
+def write(spark, path, n, kind="run", name="a", batch=0):
+    return bronze.write_batch(spark.range(n).select(F.col("id").cast("int").alias("n")), path, kind, name, batch=batch)
+
+
+def entries(path):
+    return sorted(glob.glob(f"{local(path)}/{ledger.LOG}/*.json"))
+
+
+def count(spark, path):
+    return bronze.read_bronze(spark, path, rows(spark).schema).count()
+
+
+def agree(spark, path, n):
+    assert (ledger.state(spark, path).total, count(spark, path)) == (n, n)
+
+
+def test_any_lost_entries_change_neither_rows_nor_totals(spark):
+    path = scratch_path(spark, "ledger")
+    write(spark, path, 5, name="a-1/b")
+    for batch in range(3):
+        write(spark, path, 10 + batch, "stream", "s", batch)
+    agree(spark, path, 38)
+    for _ in range(3):  # the latest, then the one before it ...
+        os.remove(entries(path)[-1])
+        agree(spark, path, 38)
+    for gone in entries(path):
+        os.remove(gone)
+    agree(spark, path, 38)
+    # appends go on, and a retry is known as one
+    assert write(spark, path, 4, name="c") == 4
+    agree(spark, path, 42)
+    assert write(spark, path, 4, name="c") == 0 and write(spark, path, 6, name="c") == 2
+    agree(spark, path, 44)
+
+
+@pytest.mark.parametrize("step", ["begin", "book"])
+@pytest.mark.parametrize("after", [False, True])
+def test_a_batch_stopped_at_any_step(spark, monkeypatch, step, after):
+    path = scratch_path(spark, "stopped_batch")
+    write(spark, path, 5, name="a")
+    real = getattr(ledger, step)
+
+    def stopped(*a):
+        if after:
+            real(*a)
+        raise KeyboardInterrupt(step)
+
+    for name, n in (("b", 7), ("a", 9)):  # a new delivery, and one that replaces another
+        monkeypatch.setattr(ledger, step, stopped)
+        with pytest.raises(KeyboardInterrupt):
+            write(spark, path, n, name=name)
+        monkeypatch.undo()
+        agree(spark, path, count(spark, path))
+        write(spark, path, n, name=name)
+        agree(spark, path, 12 if name == "b" else 16)
+
+
+def test_the_log_is_compacted(spark, monkeypatch):
+    path = scratch_path(spark, "compact")
+    monkeypatch.setattr(ledger, "COMPACT", 4)
+    for batch in range(12):
+        write(spark, path, batch, "stream", "s", batch)
+        write(spark, path, 1, name=f"r{batch}")
+    assert len(entries(path)) < 20
+    agree(spark, path, 66 + 12)
+    last = next(p for p in reversed(entries(path)) if '"state"' in open(p).read())
+    os.remove(last)  # the checkpoint before it still has all entries since
+    agree(spark, path, 78)
+
+
+def test_lost_folders_are_an_error(spark):
+    path = scratch_path(spark, "lost_folders")
+    write(spark, path, 3)
+    os.rename(f"{local(path)}/{ledger.folder('run', 'a', 0)}", f"{local(path)}_moved")
+    with pytest.raises(commits.TableStateError, match="lost its batch folders"):
+        count(spark, path)
