@@ -7,18 +7,25 @@ are hits. A hit puts item and document on one diagonal; each (document, item,
 diagonal) is verified once, token by token: some stretch of ``STRETCH`` places of
 the item (all of a shorter item) must agree in ``percent`` of its places. ``MASKS``
 are chosen so that whatever agrees in 80 % shares a seed (by enumeration, in the
-tests). Items shorter than the masks have their own ones with ``short_items``: whole
-windows of their length, without each choice of as many places as may differ.
+tests). Items shorter than the masks have their own ones: whole windows of their
+length, without each choice of as many places as may differ.
 
 The hashes of the benchmark are broadcast only if they are counted to be at most
-``BROADCAST_SEEDS`` rows; beyond that the same join shuffles. The documents'
-windows stay inside one projection and one generator: only hits leave the scan.
+``BROADCAST_SEEDS`` rows. Then the documents' windows stay inside one projection and one
+generator, and only hits leave the scan. Beyond that number windows are shuffled, each
+as a hash, its place and its document's key alone; the tokens of documents with hits
+are fetched afterwards. Both ways give the same rows.
+
+A row is known by its id and a hash of its text, so that of rows with equal or null ids
+each is judged by its own text.
 
 Defined results: tokens are runs of letters and digits in lower case; null and
-empty texts have none and match nothing; items with fewer tokens than the longest
-mask are found with ``short_items`` only (the query and the pipeline set it); equal item texts stand for the smallest item_id; rows with a
-null id match nothing; repeated document rows give one row; the result has only
-contaminated documents; empty tables: no rows. Other columns are ignored.
+empty texts have none and match nothing; equal item texts stand for the smallest
+item_id; items with a null id are left out; ``contaminated`` leaves out rows with a
+null doc_id and gives one row for a doc_id and an item, however many rows have that id;
+``without_contaminated`` judges every row; a very long text takes time and windows in
+proportion to its length; empty tables: no rows, or all documents kept. Other columns
+are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -58,8 +65,9 @@ def windows(rows: DataFrame, masks: tuple[str, ...], *keep: str) -> DataFrame:
     """One row for each window and mask: ``keep``, place, seed. ``rows`` has ids."""
     span = max(map(len, masks))
     # the outer form: for the plain one the optimizer adds a filter that works out all seeds once more
-    out = rows.withColumn("seeds", seeds(F.col("ids"), masks)).select(*keep, "ids", F.posexplode_outer("seeds").alias("at", "seed"))
-    return out.select(*keep, "ids", (F.col("at") % (F.size("ids") - span + 1)).alias("place"), "seed")
+    out = rows.select(*keep, (F.size("ids") - (span - 1)).alias("each"), seeds(F.col("ids"), masks).alias("seeds"))
+    out = out.select(*keep, "each", F.posexplode_outer("seeds").alias("at", "seed"))
+    return out.select(*keep, (F.col("at") % F.col("each")).alias("place"), "seed")
 
 
 def short_masks(size: int, percent: int) -> tuple[str, ...]:
@@ -68,40 +76,49 @@ def short_masks(size: int, percent: int) -> tuple[str, ...]:
     return tuple("".join("01"[i not in left] for i in range(size)) for left in combinations(range(size), free))
 
 
-def contaminated(
+def keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, mark (a hash of the text) and text."""
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("mark"), "text")
+
+
+def matches(
     docs: DataFrame,
     benchmark: DataFrame,
     masks: tuple[str, ...] = MASKS,
     percent: int = PERCENT,
     stretch: int = STRETCH,
     broadcast_seeds: int = BROADCAST_SEEDS,
-    short_items: bool = False,
 ) -> DataFrame:
-    """(doc_id, item_id, at, matched, item_tokens) for each benchmark item that a
-    document holds: the token where its best diagonal begins (negative if cut off)
-    and the number of the item's tokens that agree there."""
+    """(doc_id, mark, item_id, at, matched, item_tokens) of every diagonal that holds."""
     items = benchmark.select(F.col("item_id").cast("long"), tokens("text").alias("ids")).where("item_id is not null")
     items = items.groupBy("ids").agg(F.min("item_id").alias("item_id")).withColumn("n", F.size("ids"))
-    rows = docs.select(F.col("doc_id").cast("long"), tokens("text").alias("ids")).where("doc_id is not null")
+    texts = keyed(docs)
+    rows = texts.select("doc_id", "mark", tokens("text").alias("ids"))
+    at = (F.col("place") - F.col("item_place")).alias("at")
 
-    def hits_of(some: DataFrame, masks: tuple[str, ...]) -> DataFrame:
+    def part(ids: Column, at: Column, n: Column) -> Column:  # of the document, where the item lies
+        low = F.greatest(at, F.lit(0))
+        return F.slice(ids, low + 1, F.greatest(F.least(at + n, F.size(ids)) - low, F.lit(0)))
+
+    def diagonals_of(some: DataFrame, masks: tuple[str, ...]) -> DataFrame:
         marks = windows(some, masks, "item_id", "n").select("item_id", "n", F.col("place").alias("item_place"), "seed").distinct()
         if marks.count() <= broadcast_seeds:
-            marks = F.broadcast(marks)
-        return windows(rows, masks, "doc_id").join(marks, "seed")
-
-    hits = hits_of(items, masks)
-    if short_items:
-        span = max(map(len, masks))
-        # fewer lengths than the span; a benchmark without such items costs nothing more
-        for (size,) in items.where(F.col("n").between(1, span - 1)).select("n").distinct().collect():
-            hits = hits.unionByName(hits_of(items.where(F.col("n") == size), short_masks(size, percent)))
-    at = F.col("place") - F.col("item_place")
-    low = F.greatest(at, F.lit(0))
-    hits = hits.select(
-        "doc_id", "item_id", at.alias("at"), F.slice("ids", low + 1, F.greatest(F.least(at + F.col("n"), F.size("ids")) - low, F.lit(0))).alias("part")
-    )
-    diagonals = hits.groupBy("doc_id", "item_id", "at").agg(F.first("part").alias("part"))
+            hits = windows(rows, masks, "doc_id", "mark", "ids").join(F.broadcast(marks), "seed").select("*", at)
+            hits = hits.select("doc_id", "mark", "item_id", "at", part(F.col("ids"), F.col("at"), F.col("n")).alias("part"))
+            return hits.groupBy("doc_id", "mark", "item_id", "at").agg(F.first("part").alias("part"))
+        hits = windows(rows, masks, "doc_id", "mark").join(marks, "seed").select("doc_id", "mark", "item_id", "n", at).distinct()
+        # a document's diagonals, at most its own windows times the items
+        found = hits.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("item_id", "at", "n")).alias("found"))
+        found = found.select(F.col("doc_id").alias("hit_id"), F.col("mark").alias("hit_mark"), "found")
+        both = texts.distinct().join(found, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("mark") == F.col("hit_mark")))
+        both = both.select("doc_id", "mark", tokens("text").alias("ids"), "found")
+        cut = F.transform("found", lambda d: F.struct(d["item_id"].alias("item_id"), d["at"].alias("at"), part(F.col("ids"), d["at"], d["n"]).alias("part")))
+        return both.select("doc_id", "mark", F.explode(cut).alias("d")).select("doc_id", "mark", "d.item_id", "d.at", "d.part")
+
+    diagonals = diagonals_of(items, masks)
+    # fewer lengths than the masks' span; a benchmark without such items costs nothing more
+    for (size,) in items.where(F.col("n").between(1, max(map(len, masks)) - 1)).select("n").distinct().collect():
+        diagonals = diagonals.unionByName(diagonals_of(items.where(F.col("n") == size), short_masks(size, percent)))
     both = diagonals.join(items, "item_id")
     own = F.slice("ids", F.greatest(-F.col("at"), F.lit(0)) + 1, F.size("part"))
     both = both.withColumn("same", F.zip_with("part", own, lambda x, y: (x == y).cast("int")))
@@ -110,14 +127,20 @@ def contaminated(
     starts = F.sequence(F.lit(1), F.size("same") - size + 1)
     good = F.exists(starts, lambda s: total(F.slice("same", s, size)) * 100 >= size * percent)
     both = both.where(F.size("same") >= size).where(good)
-    found = both.select("doc_id", "item_id", "at", total(F.col("same")).alias("matched"), F.col("n").alias("item_tokens"))
+    return both.select("doc_id", "mark", "item_id", "at", total(F.col("same")).alias("matched"), F.col("n").alias("item_tokens"))
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
+    """(doc_id, item_id, at, matched, item_tokens) for each benchmark item that a
+    document holds: the token where its best diagonal begins (negative if cut off)
+    and the number of the item's tokens that agree there. ``how`` as for ``matches``."""
     best = F.max(F.struct(F.col("matched"), (-F.col("at")).alias("back"), F.col("item_tokens"))).alias("best")
-    return found.groupBy("doc_id", "item_id").agg(best).select(
-        "doc_id", "item_id", (-F.col("best.back")).alias("at"), "best.matched", "best.item_tokens"
-    )
+    found = matches(docs, benchmark, **how).where("doc_id is not null").groupBy("doc_id", "item_id").agg(best)
+    return found.select("doc_id", "item_id", (-F.col("best.back")).alias("at"), "best.matched", "best.item_tokens")
 
 
-def without_contaminated(docs: DataFrame, benchmark: DataFrame, short_items: bool = False) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item; all columns stay."""
-    hit = contaminated(docs, benchmark, short_items=short_items).select(F.col("doc_id").alias("__hit")).distinct()
-    return docs.join(hit, docs["doc_id"].cast("long") == hit["__hit"], "left_anti")
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
+    """``docs`` without the rows whose text holds a benchmark item; all columns stay."""
+    hit = matches(docs, benchmark, **how).select(F.col("doc_id").alias("__hit_id"), F.col("mark").alias("__hit_mark")).distinct()
+    same = docs["doc_id"].cast("long").eqNullSafe(hit["__hit_id"]) & (F.xxhash64(docs["text"]) == hit["__hit_mark"])
+    return docs.join(hit, same, "left_anti")

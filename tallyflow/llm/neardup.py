@@ -24,7 +24,7 @@ Other columns of the input are ignored.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyflow.llm.common import arrow_map, text_chunks, written
@@ -141,6 +141,34 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     return out.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
 
 
+def without_copies(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates: the one with the smallest
+    doc_id. All columns stay. Rows without a set (no words) all stay.
+
+    Where ids are null or come again, rows are told apart by id and text: each pair gets a
+    number of its own, the groups are found over these, and of equal rows one stays. Null
+    ids come last. Tables with sound ids need none of that."""
+    spark = docs.sparkSession
+    row_id, own = F.col("doc_id").cast("long"), "__own"
+    odd = docs.groupBy(row_id.alias("id")).count().where("count > 1 or id is null")
+    if odd.isEmpty():
+        found = near_duplicates(docs, k, percent).where("not kept").select(F.col("doc_id").alias("__copy"))
+        # sorted and merged at every size: the copies grow with the documents
+        return docs.join(found.hint("merge"), row_id == found["__copy"], "left_anti")
+    marks = [F.xxhash64("text").alias("__a"), F.xxhash64(F.lit(1), "text").alias("__b")]
+    pairs = docs.select(row_id.alias("__id"), *marks).distinct().withColumn(own, F.monotonically_increasing_id())
+    pairs = written(spark, pairs, "row_numbers")
+    same = row_id.eqNullSafe(pairs["__id"]) & (marks[0] == pairs["__a"]) & (marks[1] == pairs["__b"])
+    numbered = written(spark, docs.join(pairs, same).select(*(docs[c] for c in docs.columns), own), "numbered")
+    found = near_duplicates(numbered.select(F.col(own).alias("doc_id"), "text"), k, percent).distinct()
+    groups = found.join(pairs, found["doc_id"] == pairs[own])
+    first = F.min(F.struct(F.col("__id").isNull().alias("last"), F.col("__id"), F.col(own).alias("own"))).alias("first")
+    stay = groups.groupBy("component_id").agg(first, F.max("n_shingles").alias("n")).select(F.col("first.own").alias("__stay"), "n")
+    kept = numbered.join(stay, numbered[own] == stay["__stay"])
+    place = F.row_number().over(Window.partitionBy(own).orderBy(own))
+    return kept.withColumn("__place", place).where("__place = 1 or n = 0").select(*docs.columns)
+
+
 def across(members: DataFrame, sets: DataFrame, percent: int, close) -> DataFrame:
     """All pairs of members (id, component, n) of different components that can
     reach the limit: in one order of all shingles, rarest first, they share one of

@@ -17,9 +17,7 @@ def tokens(text):
 
 
 def brute(docs, items, percent=80, stretch=16):
-    """(doc, item) of all alignments with a good stretch that share a seed."""
-    masks = [[i for i, c in enumerate(m) if c == "1"] for m in decontam.MASKS]
-    span = max(map(len, decontam.MASKS))
+    """(doc, item) of all alignments with a good stretch."""
     found = set()
     for d, text in docs:
         t = tokens(text)
@@ -29,8 +27,7 @@ def brute(docs, items, percent=80, stretch=16):
                 lo, hi = max(0, -at), min(len(w), len(t) - at)
                 same = [t[at + p] == w[p] for p in range(lo, hi)]
                 size = min(len(w), stretch)
-                seeded = any(all(same[p + q] for q in m) for m in masks for p in range(len(same) - span + 1))
-                if seeded and any(100 * sum(same[s : s + size]) >= percent * size for s in range(len(same) - size + 1)):
+                if any(100 * sum(same[s : s + size]) >= percent * size for s in range(len(same) - size + 1)):
                     found.add((d, i))
     return found
 
@@ -76,13 +73,38 @@ def test_nulls_empty_ties_and_repeated_rows(spark, docs_of):
     text = " ".join(words(20, 1))
     bench = spark.createDataFrame([(5, text), (3, text), (None, text), (8, None), (9, ""), (10, "too short")], "item_id long, text string")
     docs = docs_of([(1, text), (1, text), (2, None), (3, ""), (None, text), (4, "too short")])
-    assert pairs(decontam.contaminated(docs, bench)) == {(1, 3)}
-    kept = decontam.without_contaminated(docs, bench)
-    assert kept.columns == docs.columns and kept.count() == 4
+    assert pairs(decontam.contaminated(docs, bench)) == {(1, 3), (4, 10)}
+    for few in (decontam.BROADCAST_SEEDS, 0):
+        kept = decontam.without_contaminated(docs, bench, broadcast_seeds=few)
+        assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [2, 3]
     assert decontam.contaminated(docs_of([]), bench).count() == 0
     assert decontam.contaminated(docs, bench.where(F.lit(False))).count() == 0
 
 
+def test_rows_with_equal_or_null_ids_are_judged_by_their_own_text(spark, docs_of):
+    leak, clean = " ".join(words(20, 1)), " ".join(words(20, 2))
+    bench = spark.createDataFrame([(3, leak)], "item_id long, text string")
+    docs = docs_of([(1, leak), (1, clean), (1, clean), (None, f"x {leak}"), (None, clean), (2, clean)])
+    for few in (decontam.BROADCAST_SEEDS, 0):
+        rows = decontam.without_contaminated(docs, bench, broadcast_seeds=few).collect()
+        assert sorted((r.doc_id is None, r.doc_id, r.text) for r in rows) == [(False, 1, clean), (False, 1, clean), (False, 2, clean), (True, None, clean)]
+        found = decontam.contaminated(docs, bench, broadcast_seeds=few).collect()
+        assert [(r.doc_id, r.item_id, r.at, r.matched) for r in found] == [(1, 3, 0, 20)]
+
+
+def test_windows_are_shuffled_without_their_text(spark, docs_of):
+    """What a window carries through the shuffle does not grow with its text."""
+    bench = spark.createDataFrame([(1, " ".join(words(20, 1)))], "item_id long, text string")
+    long = " ".join(words(3000, 5)) + " " + " ".join(words(20, 1))
+    out = decontam.contaminated(docs_of([long, "a b"]), bench, broadcast_seeds=0)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "seed" in line and "Join" in line]
+    below = plan[plan.index(joins[0]) :]
+    assert "ids" not in below[: below.index("Generate")]
+    assert pairs(out) == {(0, 1)}
+    assert pairs(decontam.contaminated(docs_of([long, "a b"]), bench)) == {(0, 1)}
+
+
 def accepted(size, percent=80):
     """All ways in which ``size`` places agree often enough (fewer differences lie inside these)."""
     free = size - -(-size * percent // 100)
@@ -117,10 +139,10 @@ def test_equals_all_alignments_without_any_seed(spark, docs_of):
                 if any(100 * sum(same[s : s + size]) >= 80 * size for s in range(len(same) - size + 1)):
                     want.add((d, i))
     bench = spark.createDataFrame(items, "item_id long, text string")
-    assert pairs(decontam.contaminated(docs_of(docs), bench, short_items=True)) == want
+    assert pairs(decontam.contaminated(docs_of(docs), bench)) == want
     assert {i for _, i in want} == {i for i, _ in items}
     gone = {d for d, _ in want}
-    assert {x.doc_id for x in decontam.without_contaminated(docs_of(docs), bench, short_items=True).collect()} == {d for d, _ in docs} - gone
+    assert {x.doc_id for x in decontam.without_contaminated(docs_of(docs), bench).collect()} == {d for d, _ in docs} - gone
 
 
 def test_plan_has_no_python(spark, docs_of):

@@ -67,6 +67,21 @@ def test_null_ids_empty_tables_and_repeated_rows(docs_of):
     assert sorted((r.doc_id, r.component_id) for r in out) == [(3, 3), (3, 3), (5, 3)]
 
 
+def test_one_row_of_each_group_stays_whatever_the_ids(docs_of):
+    r = random.Random(3)
+    text = lambda n: " ".join("".join(r.choice("abcdef") for _ in range(6)) for _ in range(n))
+    a, b, c = text(40), text(40), text(40)
+    near = a + " tail"
+    rows = [(1, a), (1, a), (None, a), (None, a), (None, near)]  # one group, two texts
+    rows += [(2, near), (2, b), (7, c), (7, c), (None, c), (8, ""), (8, ""), (None, None), (9, text(40))]
+    kept = sorted(((x.doc_id, x.text) for x in neardup.without_copies(docs_of(rows)).collect()), key=str)
+    assert kept == sorted([(1, a), (2, b), (7, c), (8, ""), (8, ""), (None, None), rows[-1]], key=str)
+    only_null = neardup.without_copies(docs_of([(None, a), (None, b), (None, a)])).collect()
+    assert sorted(x.text for x in only_null) == sorted([a, b])
+    sound = neardup.without_copies(docs_of([(4, near), (3, a), (5, b), (6, None)]))
+    assert sorted(x.doc_id for x in sound.collect()) == [3, 5, 6] and sound.columns == docs_of([]).columns
+
+
 def test_components_of_paths_cycles_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(60, 50), (50, 60), (70, 70), (100, 90), (101, 90), (90, 102)]
     out = connected_components(spark, spark.createDataFrame(edges, "a long, b long")).collect()
