@@ -7,7 +7,8 @@ of ``documents``; ``n_chars`` follows the text where a stage changes it.
 
 Stages keep rows with nulls where no rule says otherwise: language ID drops null
 texts and texts without letters; line dedup drops a document of which nothing is
-left; near-dedup and decontamination keep empty texts.
+left; near-dedup and decontamination keep empty texts, and tell rows with equal or null
+ids apart by their texts.
 """
 
 from __future__ import annotations
@@ -42,14 +43,12 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the first document of each group of near-duplicates (five-word
     shingles, similarity of 0.8 or more)."""
-    found = neardup.near_duplicates(docs, k=5, percent=80).where("not kept").select(F.col("doc_id").alias("__copy"))
-    # sorted and merged at every size: the copies grow with the documents
-    return docs.join(found.hint("merge"), docs["doc_id"].cast("long") == found["__copy"], "left_anti")
+    return neardup.without_copies(docs, k=5, percent=80)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold an item of ``benchmark``."""
-    return decontam.without_contaminated(docs, table(spark, sf_dir, "benchmark"), short_items=True)
+    return decontam.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
