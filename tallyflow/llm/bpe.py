@@ -13,8 +13,9 @@ prefix on the current path, so what two words share is computed once.
 A word's final character carries the word-end suffix, which makes it another
 symbol: it is the leaf edge and never shared with an inner node.
 
-Words are encoded inside the tasks that read the texts: no shuffle, and memory
-is bounded by the chunk size and by a word cache that is emptied when full.
+Words are encoded inside the tasks that read the texts: no shuffle. A task's memory is
+bounded by the chunk size, a cache of runs that is bounded in bytes and dropped when
+full and at the task's end, and a cache of token pairs that is bounded in number.
 
 Defined results: null and empty texts have no tokens (hashes of nothing);
 repeated rows are encoded alike; extra columns of the input are ignored by
@@ -41,8 +42,10 @@ WHITE = r"\t-\r\x20\x85\xa0  -     　"
 #: the tokenizer file's split pattern is read from the file; its characters' bytes
 #: are written with this printable alphabet (byte-level rule: printable bytes stand
 #: for themselves, the others follow from 256 on)
-CACHE_RUNS = 500_000
-CACHE_PAIRS = 1_000_000
+CACHE_BYTES = 48_000_000
+#: about what an entry of the cache of runs takes besides its texts
+ENTRY_BYTES = 300
+CACHE_PAIRS = 250_000
 CHUNK_BYTES = 2_000_000
 NEVER = 1 << 60
 
@@ -211,26 +214,33 @@ class WordBpe:
         return " ".join(self.names[i] for i in ids if i in self.names)
 
 
-def encoder(model, chunk_bytes: int = CHUNK_BYTES, cache_runs: int = CACHE_RUNS):
+def encoder(model, chunk_bytes: int = CHUNK_BYTES, cache_bytes: int = CACHE_BYTES):
     """``model.value``: a :class:`WordBpe` (a broadcast; as large as its vocabulary).
     A function from Arrow batches with a ``text`` column to, chunk by chunk, (batch, ids of each text as little-endian bytes, decoded text as bytes)."""
 
     def run(batches):
         bpe = model.value
-        gc.disable()  # millions of small objects and no cycles: collections would only cost time
         known: dict[str, tuple[bytes, bytes]] = {}  # (ids, decoded text) of a run without white space
-        for batch in text_chunks(batches, chunk_bytes):
-            if len(known) > cache_runs:
-                known.clear()
-            texts = [bpe.runs(t) if t else [] for t in batch.column("text").to_pylist()]
-            new = {run: bpe.words(run) for run in set().union(*texts).difference(known)}
-            words = bpe.encode_words(set().union(*new.values()))
-            for run, parts in new.items():
-                tokens = [bpe.special[p] if p in bpe.special else bpe.vocab[t] for p in parts for t in words.get(p, (p,))]
-                known[run] = (struct.pack(f"<{len(tokens)}I", *tokens), (bpe.decode(tokens) + " ").encode("utf-8") if tokens else b"")
-            found = [[known[run] for run in runs] for runs in texts]
-            yield batch, [b"".join([f[0] for f in runs]) for runs in found], [b"".join([f[1] for f in runs])[:-1] for runs in found]
-        gc.enable()
+        held = 0
+        gc.disable()  # millions of small objects and no cycles: collections would only cost time
+        try:
+            for batch in text_chunks(batches, chunk_bytes):
+                if held > cache_bytes:
+                    known.clear()
+                    held = 0
+                texts = [bpe.runs(t) if t else [] for t in batch.column("text").to_pylist()]
+                new = {run: bpe.words(run) for run in set().union(*texts).difference(known)}
+                words = bpe.encode_words(set().union(*new.values()))
+                for run, parts in new.items():
+                    tokens = [bpe.special[p] if p in bpe.special else bpe.vocab[t] for p in parts for t in words.get(p, (p,))]
+                    known[run] = found = (struct.pack(f"<{len(tokens)}I", *tokens), (bpe.decode(tokens) + " ").encode("utf-8") if tokens else b"")
+                    held += len(run) + len(found[0]) + len(found[1]) + ENTRY_BYTES
+                found = [[known[run] for run in runs] for runs in texts]
+                yield batch, [b"".join([f[0] for f in runs]) for runs in found], [b"".join([f[1] for f in runs])[:-1] for runs in found]
+                del texts, new, words, found
+        finally:
+            known.clear()
+            gc.enable()
 
     return run
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 from collections.abc import Iterable, Iterator
 
@@ -56,6 +58,17 @@ def text_chunks(batches: Iterable[pa.RecordBatch], max_chars: int) -> Iterator[p
             yield batch.slice(start)
 
 
+def give_back_memory() -> None:
+    """What a task's end leaves to the next one: Python workers are used again, and
+    what their allocators keep of freed memory counts against the executor."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def arrow_map(df: DataFrame, function, schema: str) -> DataFrame:
     """``mapInArrow`` for functions that yield dicts of lists in schema order."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -64,7 +77,10 @@ def arrow_map(df: DataFrame, function, schema: str) -> DataFrame:
     arrow = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches):
-        for out in function(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
+        try:
+            for out in function(batches):
+                yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
+        finally:
+            give_back_memory()
 
     return df.mapInArrow(run, schema)

@@ -53,5 +53,5 @@ def test_cache_and_chunk_limits_change_nothing():
 
     texts = pa.record_batch({"text": pa.array(["alpha beta gamma", "beta alphabet", None, "gamma rays"] * 3)})
     wide = [ids for _, ids, _ in bpe.encoder(Held)([texts])]
-    narrow = [ids for _, ids, _ in bpe.encoder(Held, chunk_bytes=5, cache_runs=1)([texts])]
+    narrow = [ids for _, ids, _ in bpe.encoder(Held, chunk_bytes=5, cache_bytes=1_000)([texts])]
     assert sum(wide, []) == sum(narrow, []) and len(narrow) > len(wide)
