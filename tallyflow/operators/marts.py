@@ -11,7 +11,7 @@ Sorting is presentation only and off by default in composed plans.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyflow.functions import domain
@@ -145,6 +145,15 @@ def fact_with_calendar(spark: SparkSession, facts: DataFrame) -> DataFrame:
     return facts.join(cal, "full_date", "left")
 
 
+def fact_on_days(facts: DataFrame, calendar: DataFrame, days: Column | str) -> DataFrame:
+    """J4 + P19: the fact rows of those calendar days for which ``days`` holds, with the
+    days' names. Over a published fact, whose folders are days, the filtered calendar
+    decides at run time which folders are read at all (dynamic partition pruning): it is
+    a few thousand rows at most, broadcast for the join, and used again for the scan."""
+    chosen = calendar.where(days).select("full_date", "day_name", "is_month_end")
+    return facts.join(F.broadcast(chosen), "full_date")
+
+
 def fact_with_country(spark: SparkSession, facts: DataFrame) -> DataFrame:
     """J1 as a star join: fact rows with every merchant-country attribute;
     a left join, so unmapped codes keep null attributes."""

@@ -1,6 +1,6 @@
 """The medallion graph as lazily derived DataFrames.
 
-``derive`` wires bronze -> validated view -> {silver, quarantine} -> daily
+``Layers`` wires bronze -> validated view -> {silver, quarantine} -> daily
 fact -> {fact, failed fact}. Nothing runs until an action; each consumer gets
 one Catalyst plan from the bronze scan to its answer. Publishing
 (``tallyflow.sources.publish``) cuts this lineage into written tables.
@@ -8,7 +8,7 @@ one Catalyst plan from the bronze scan to its answer. Publishing
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,15 +17,40 @@ from tallyflow.session import use_utc
 from tallyflow.sources import fixture
 
 
-@dataclass(frozen=True)
 class Layers:
-    bronze: DataFrame
-    validated: DataFrame
-    silver: DataFrame
-    rejected: DataFrame
-    daily: DataFrame
-    fact: DataFrame
-    fact_rejected: DataFrame
+    """Each layer is built (and analysed by Spark) when it is first asked for, together
+    with those below it and no others."""
+
+    def __init__(self, bronze: DataFrame):
+        self.bronze = bronze
+
+    @cached_property
+    def validated(self) -> DataFrame:
+        return silver.with_reasons(self.bronze)
+
+    @cached_property
+    def accepted(self) -> DataFrame:
+        return silver.accepted(self.validated)
+
+    @cached_property
+    def rejected(self) -> DataFrame:
+        return silver.rejected(self.validated)
+
+    @cached_property
+    def silver(self) -> DataFrame:
+        return silver.project_silver(silver.dedup(self.accepted))
+
+    @cached_property
+    def daily(self) -> DataFrame:
+        return gold.daily(self.silver)
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        return gold.fact_payments(self.daily)
+
+    @cached_property
+    def fact_rejected(self) -> DataFrame:
+        return gold.fact_payments_rejected(self.daily)
 
     @property
     def all_payments(self) -> DataFrame:
@@ -35,18 +60,7 @@ class Layers:
 
 
 def derive(bronze: DataFrame) -> Layers:
-    validated = silver.with_reasons(bronze)
-    silver_df = silver.project_silver(silver.dedup(silver.accepted(validated)))
-    daily = gold.daily(silver_df)
-    return Layers(
-        bronze=bronze,
-        validated=validated,
-        silver=silver_df,
-        rejected=silver.rejected(validated),
-        daily=daily,
-        fact=gold.fact_payments(daily),
-        fact_rejected=gold.fact_payments_rejected(daily),
-    )
+    return Layers(bronze)
 
 
 def from_testdata(spark: SparkSession, sf_dir: str) -> Layers:

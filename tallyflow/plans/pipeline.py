@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tallyflow.functions import domain
 from tallyflow.operators import dims, gold, silver
-from tallyflow.session import path_bytes, path_exists, scratch_path, sized_for, use_utc
+from tallyflow.session import path_bytes, path_exists, remove, scratch_path, sized_for, use_utc
 from tallyflow.sources import publish as pub
 from tallyflow.sources.tables import TABLES
 from tallyflow.streaming import bronze as bronze_stream
@@ -68,11 +68,19 @@ class Warehouse:
 
 
 def publish_downstream(spark: SparkSession, wh: Warehouse) -> list[pub.WriteMetrics]:
-    """Silver, quarantine, facts and dimensions from the bronze table."""
+    """Silver, quarantine, facts and dimensions from the bronze table. The validated and
+    daily rows that two tables share are written once, and go when these are published."""
     use_utc(spark)
+    work = scratch_path(spark, "layers")
+    try:
+        return _publish_layers(spark, wh, work)
+    finally:
+        remove(spark, work)
+
+
+def _publish_layers(spark: SparkSession, wh: Warehouse, work: str) -> list[pub.WriteMetrics]:
     out = []
     quality = Observation()
-    work = scratch_path(spark, "layers")
     validated = silver.with_reasons(wh.read(spark, BRONZE), quality)
     validated = _written(validated.withColumn("_bad", F.size("rejection_reasons") > 0), f"{work}/validated", "_bad")
     wh.quality = dict(quality.get)

@@ -10,6 +10,7 @@ streaming, publishing) work in a fresh folder below ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,8 @@ from tallyflow.operators import dims, gold, marts, outbound, silver
 from tallyflow.plans import pipeline
 from tallyflow.plans.layers import Layers, from_testdata
 from tallyflow.session import scratch_path, use_utc
-from tallyflow.sources import fixture, publish, raw
+from tallyflow.sources import discovery, fixture, publish, raw
+from tallyflow.sources.catalog import CatalogWarehouse
 from tallyflow.sources.schema import BRONZE_COLUMNS
 from tallyflow.sources.tables import TABLES
 from tallyflow.streaming import bronze as bronze_streaming
@@ -112,18 +114,18 @@ def q_silver_payments_rejected(spark, sf_dir):
 
 def q_silver_accepted(spark, sf_dir):
     """P11 (with the P12 band), before dedup."""
-    return conform(silver.accepted(_layers(spark, sf_dir).validated))
+    return conform(_layers(spark, sf_dir).accepted)
 
 
 def q_amount_band_event(spark, sf_dir):
     """Per-event band of every accepted row."""
-    acc = silver.accepted(_layers(spark, sf_dir).validated)
+    acc = _layers(spark, sf_dir).accepted
     return acc.select("event_id", "merchant_id", "source_file", "amount_decimal", "amount_band")
 
 
 def q_silver_dedup(spark, sf_dir):
     """W1 + W2: one row per (event_id, merchant_id), all view columns."""
-    return conform(silver.dedup(silver.accepted(_layers(spark, sf_dir).validated)))
+    return conform(silver.dedup(_layers(spark, sf_dir).accepted))
 
 
 def q_silver_payments(spark, sf_dir):
@@ -258,6 +260,14 @@ def q_event_ndjson(spark, sf_dir):
     return _ndjson(spark, sf_dir)
 
 
+def q_event_ndjson_open(spark, sf_dir):
+    """C2 + C3 over lines with fields that no schema names: nested ones, and ones with
+    the names of columns that the library itself uses."""
+    use_utc(spark)
+    lines = fixture.open_lines(_outbound_input(spark, sf_dir))
+    return outbound.to_ndjson(outbound.normalize_contract(outbound.read_open(lines), fill_defaults=False))
+
+
 def q_oversize_events(spark, sf_dir):
     """C4."""
     return outbound.oversize_events(_ndjson(spark, sf_dir))
@@ -273,7 +283,7 @@ def q_route_by_merchant(spark, sf_dir):
     before = F.lag("high").over(Window.partitionBy("merchant_id").orderBy("p"))
     runs = runs.withColumn("rising", F.coalesce(before <= F.col("low"), F.lit(True)))
     return runs.groupBy("merchant_id").agg(
-        F.sum("n").alias("events"), ((F.max("p") - F.min("p") + 1 == F.count("*")) & F.bool_and("rising")).alias("contiguous")
+        F.sum("n").alias("events"), F.min("low").alias("first_event"), F.max("high").alias("last_event"), ((F.max("p") - F.min("p") + 1 == F.count("*")) & F.bool_and("rising")).alias("contiguous")
     )
 
 
@@ -311,11 +321,11 @@ def q_bronze_batch_multi_version(spark, sf_dir):
 
 
 def q_raw_explore(spark, sf_dir):
-    """Inferred raw table with delivery-folder partition columns."""
+    """Raw table with a discovered schema and delivery-folder partition columns."""
     use_utc(spark)
-    root = _land_fixture(spark, sf_dir, scratch_path(spark, "raw_explore") + "/raw")
-    df = raw.explore_raw(spark, root)
-    return df.drop("source_file")
+    work = scratch_path(spark, "raw_explore")
+    root = _land_fixture(spark, sf_dir, f"{work}/raw")
+    return discovery.explore(spark, root, f"{work}/schema").drop("source_file")
 
 
 def _stream_bronze_once(spark, sf_dir, runs: int):
@@ -361,15 +371,59 @@ def _published(spark, sf_dir):
     return pipeline.Warehouse(root), metrics
 
 
+def _written_layers(spark, sf_dir, *names: str) -> pipeline.Warehouse:
+    """A warehouse with only these tables, opened anew."""
+    L = _layers(spark, sf_dir)
+    build = {
+        "silver_payments": lambda: L.silver,
+        "silver_payments_rejected": lambda: L.rejected,
+        "fact_payments": lambda: L.fact,
+        "fact_payments_rejected": lambda: L.fact_rejected,
+        "dim_status": lambda: dims.dim_status(spark),
+        "dim_date": lambda: dims.dim_date(spark),
+    }
+    root = scratch_path(spark, "warehouse")
+    for name in names:
+        pipeline.Warehouse(root).write(build[name](), name)
+    return pipeline.Warehouse(root)
+
+
 def _read_back(name: str) -> Query:
     def run(spark, sf_dir):
-        return conform(_published(spark, sf_dir)[0].read(spark, name))
+        return conform(_written_layers(spark, sf_dir, name).read(spark, name))
 
     run.__name__ = f"q_published_{name}"
     run.__doc__ = f"S9 + S11: ``{name}`` read back with its declared types and order."
     return run
 
 
+def q_published_dim_date(spark, sf_dir):
+    """S9 + S11 + D1: the published calendar with its use by the published fact."""
+    wh = _written_layers(spark, sf_dir, "dim_date", "fact_payments")
+    return conform(marts.dimension_usage(wh.read(spark, "dim_date"), wh.read(spark, "fact_payments"), "full_date", "full_date"))
+
+
+def q_fact_weekends(spark, sf_dir):
+    """J4 + P19: the published fact on Saturdays and Sundays, by dynamic pruning."""
+    wh = _written_layers(spark, sf_dir, "dim_date", "fact_payments")
+    return conform(marts.fact_on_days(wh.read(spark, "fact_payments"), wh.read(spark, "dim_date"), "day_of_week >= 6"))
+
+
+def q_catalog_tables(spark, sf_dir):
+    """Facts and a dimension as catalog tables, read by name in SQL; the first
+    table is written twice, so that the second write replaces the first."""
+    L = _layers(spark, sf_dir)
+    wh = CatalogWarehouse(scratch_path(spark, "catalog"), database=f"payments_{uuid.uuid4().hex[:12]}")
+    wh.create_database(spark, wh.root)
+    wh.write(L.daily, "fact_payments")
+    wh.write(L.fact, "fact_payments")
+    wh.write(dims.dim_status(spark), "dim_status")
+    notes = wh.described(spark, "fact_payments")
+    fact, status = wh.table("fact_payments"), wh.table("dim_status")
+    rows = spark.sql(f"SELECT f.*, s.status_name FROM {fact} f JOIN {status} s ON f.status = s.status_code")
+    return conform(rows.withColumns({"table_comment": F.lit(notes["comment"]), "table_quality": F.lit(notes["properties"].get("quality"))}))
+
+
 def q_named_views(spark, sf_dir):
     """S10 + S11: SQL over the published tables by name, and over a temporary view."""
     wh, _ = _published(spark, sf_dir)
@@ -408,7 +462,7 @@ def q_ordered_report(spark, sf_dir):
 
 def q_publish_mv(spark, sf_dir):
     """The published ``fact_payments`` read back from its partitioned files."""
-    wh, _ = _published(spark, sf_dir)
+    wh = _written_layers(spark, sf_dir, "fact_payments")
     return conform(wh.read(spark, "fact_payments").select(*gold.FACT_COLUMNS))
 
 
@@ -455,6 +509,7 @@ _QUERIES: dict[str, Query] = {
     "contract_violations": q_contract_violations,
     "contract_normalize": q_contract_normalize,
     "event_ndjson": q_event_ndjson,
+    "event_ndjson_open": q_event_ndjson_open,
     "oversize_events": q_oversize_events,
     "route_by_merchant": q_route_by_merchant,
     # files, streams, publishing
@@ -464,7 +519,10 @@ _QUERIES: dict[str, Query] = {
     "bronze_stream": q_bronze_stream,
     "bronze_append": q_bronze_append,
     "publish_mv": q_publish_mv,
-    **{f"published_{n}": _read_back(n) for n in ("silver_payments", "silver_payments_rejected", "fact_payments_rejected", "dim_date")},
+    **{f"published_{n}": _read_back(n) for n in ("silver_payments", "silver_payments_rejected", "fact_payments_rejected")},
+    "published_dim_date": q_published_dim_date,
+    "fact_weekends": q_fact_weekends,
+    "catalog_tables": q_catalog_tables,
     "named_views": q_named_views,
     "day_slices": q_day_slices,
     "ordered_report": q_ordered_report,

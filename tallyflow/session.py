@@ -120,10 +120,22 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """This application's folder below the shared checkpoint root."""
+    return f"{checkpoint_root(spark).rstrip('/')}/tallyflow/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder below the shared checkpoint root."""
-    root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/tallyflow/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique folder for what a job must write and read again. Jobs that know
+    when they are done remove theirs; a result that is read later keeps its folders
+    until ``remove_scratch``."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Remove all that this application has left below the checkpoint root: call it when
+    every result has been read or written."""
+    remove(spark, scratch_root(spark))
 
 
 def _file(spark: SparkSession, path: str):
@@ -205,6 +217,26 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     _rename(spark, aside, path, "OVERWRITE")
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _file(spark, path)
+    if not fs.exists(p):
+        fs.mkdirs(p)
+
+
+def rename_over(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file, over one of that name."""
+    _rename(spark, source, target, "OVERWRITE")
+
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Paths of all files below a folder."""
+    fs, p = _file(spark, path)
+    found, files = [], fs.listFiles(p, True)
+    while files.hasNext():
+        found.append(files.next().getPath().toString())
+    return found
+
+
 def list_names(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder; none where it doesn't exist."""
     fs, p = _file(spark, path)

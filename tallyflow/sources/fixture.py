@@ -186,3 +186,15 @@ def outbound_from_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
             "schema_version": F.when(m200 == 37, 2).when(m200 == 43, 3),
         }
     )
+
+
+def open_lines(outbound: DataFrame) -> DataFrame:
+    """The outbound events as JSON lines (``line``) with fields that no schema names:
+    nested objects and lists, and names that the library uses for columns of its own."""
+    n = F.length("event_id") + F.coalesce(F.length("country"), F.lit(0))
+    core = F.to_json(F.struct(*(c for c in outbound.columns if c != "country")))
+    note = F.concat(
+        F.lit(',"digits":{"number":true,"of":['), n, F.lit("," + "2.5,null]},"), F.lit('"contract_reasons":["none"],"event_id_generated":"no",'),
+        F.lit('"source_file":"gateway-'), n, F.lit('","extras":{"a":'), n, F.lit(',"b":"x"},"line":null}'),
+    )
+    return outbound.select(F.concat(F.substr(core, F.lit(1), F.length(core) - 1), note).alias("line"))

@@ -14,21 +14,23 @@ folders is a log of opened and booked batches; what it has lost is counted anew.
 
 Every micro-batch is bounded (``maxFilesPerTrigger``) and ``availableNow`` drains
 the backlog in such batches, so a 100 TB backlog is a sequence of bounded jobs.
-GZIP files can't be split: the landing bounds their size, and a source that delivers
-larger ones must be asked to do so too.
+GZIP files can't be split: the landing bounds their size (``raw.bounded_files``), and a
+source that delivers larger ones must be asked to do so too.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyflow.session import is_file, path_exists, read_text, write_text
+from tallyflow.session import is_file, list_files, make_folder, path_exists, read_text, remove, rename_over, scratch_path, write_text
 from tallyflow.sources import raw
 from tallyflow.sources.commits import TableStateError
 from tallyflow.sources.schema import bronze_read_schema
@@ -37,6 +39,8 @@ from tallyflow.streaming.ledger import INGEST
 
 #: a file is new however old it is: back-fills keep their old modification times
 ANY_AGE = "36500d"
+#: renames of landed files that run at once
+RENAMES = 16
 
 
 def bronze_stream(
@@ -95,6 +99,14 @@ def read_bronze(spark: SparkSession, table_path: str, schema: T.StructType, fmt:
     return spark.read.format(fmt).schema(whole).load(table_path).select(*schema.fieldNames())
 
 
+def stream_name(spark: SparkSession, checkpoint: str) -> str:
+    """Names a stream's batches, as long as its checkpoint lives."""
+    mark = f"{checkpoint}/table_stream_id"
+    if not path_exists(spark, mark):
+        write_text(spark, mark, uuid.uuid4().hex[:12])
+    return read_text(spark, mark).strip()
+
+
 def append_bronze(
     stream: DataFrame,
     table_path: str,
@@ -105,10 +117,7 @@ def append_bronze(
     """S5 + S16: append the stream to the bronze table once over everything
     available now, then stop. Returns rows added by this run and rows in all."""
     spark = stream.sparkSession
-    mark = f"{checkpoint}/table_stream_id"  # names this stream's batches, as long as its checkpoint lives
-    if not path_exists(spark, mark):
-        write_text(spark, mark, uuid.uuid4().hex[:12])
-    stream_id = read_text(spark, mark).strip()
+    stream_id = stream_name(spark, checkpoint)
     before = ledger.state(spark, table_path, fmt).total
 
     def write(batch: DataFrame, number: int) -> None:
@@ -122,6 +131,33 @@ def append_bronze(
     return total - before, total
 
 
+def land_batch(framed: DataFrame, raw_root: str, name: str, max_file_bytes: int, at_least: int) -> int:
+    """Land one batch under its name; the same batch again replaces its own files.
+
+    The files are written to a folder that readers don't look at and then renamed into
+    their hours, as ``<name>-<number>.txt.gz``. Numbers follow from the lines alone, so a
+    retry, at whatever step the first try stopped, ends with the same files. Returns
+    their number."""
+    spark = framed.sparkSession
+    staging = f"{raw_root}/_staging/{name}"
+    work = scratch_path(spark, "landing")
+    rows = raw.bounded_files(framed, max_file_bytes, work, at_least)
+    rows.write.mode("overwrite").partitionBy(*raw.LANDING_PARTITIONS).option("compression", "gzip").text(staging)
+    targets = {}
+    for path in list_files(spark, staging):
+        folder, file = path.rsplit("/", 1)
+        part = re.match(r"part-(\d+)-.*\.txt\.gz$", file)
+        if part:
+            hour = folder[folder.index("/_staging/") + len(f"/_staging/{name}") :]
+            targets[path] = (f"{raw_root}{hour}", f"{name}-{part[1]}.txt.gz")
+    with ThreadPoolExecutor(RENAMES) as pool:  # one call to the file system each
+        list(pool.map(lambda folder: make_folder(spark, folder), {folder for folder, _ in targets.values()}))
+        list(pool.map(lambda move: rename_over(spark, move[0], "/".join(move[1])), targets.items()))
+    remove(spark, staging)
+    remove(spark, work)
+    return len(targets)
+
+
 def land_stream(
     lines: DataFrame,
     raw_root: str,
@@ -129,28 +165,23 @@ def land_stream(
     line: str = "line",
     delivered_at: str = "delivered_at",
     salt_buckets: int | None = None,
+    max_file_bytes: int = raw.MAX_FILE_BYTES,
 ) -> StreamingQuery:
     """S8 (stream): GZIP NDJSON into ``year=/month=/day=/hour=`` folders of the
-    delivery time, exactly-once through the checkpoint.
+    delivery time, each file at most ``max_file_bytes`` of text, exactly once through the
+    checkpoint and the batches' names.
 
-    Micro-batches run without AQE, so each batch is hash-partitioned on the
-    folder columns plus a salt. A delivery-hour landing has nearly all rows of a
-    batch in one hour, so by default the salt has as many values as there are
-    shuffle partitions and one hour uses all writers; fewer buckets make fewer
-    files where batches span many hours."""
+    A delivery-hour landing has nearly all rows of a batch in one hour, so by default a
+    batch is cut into as many files as there are shuffle partitions, or into
+    ``salt_buckets``, and into more where it has more hours or the bound asks for it."""
     framed = raw.landing_frame(lines, line, delivered_at)
-    parts = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salt = F.pmod(F.xxhash64("value"), F.lit(salt_buckets or parts))
-    spread = framed.repartition(parts, *raw.LANDING_PARTITIONS, salt)
-    query = (
-        spread.writeStream.format("text")
-        .outputMode("append")
-        .partitionBy(*raw.LANDING_PARTITIONS)
-        .option("compression", "gzip")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(raw_root)
-    )
+    parts = salt_buckets or int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    stream_id = stream_name(lines.sparkSession, checkpoint)
+
+    def write(batch: DataFrame, number: int) -> None:
+        land_batch(batch, raw_root, f"{stream_id}-{number}", max_file_bytes, parts)
+
+    query = framed.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return query
 

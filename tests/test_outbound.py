@@ -1,6 +1,10 @@
 """Outbound producer contract as table operators."""
 
+import json
+from collections import Counter
+
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyflow.operators import outbound
@@ -132,3 +136,52 @@ def test_ndjson_round_trip_on_fixture(spark):
     assert back.count() == norm.count() > 0
     assert back.select(cols).exceptAll(norm.select(cols)).count() == 0
     assert norm.select(cols).exceptAll(back.select(cols)).count() == 0
+
+
+def test_no_column_of_the_library_can_take_an_extras_place(spark):
+    extras = {"digits": "1", "_d": "2", "source_file": "3", "key": "4", "part": "5"}
+    schema = T.StructType([*SCHEMA.fields, *(T.StructField(n, T.StringType()) for n in extras)])
+    events = _df(spark, extras, schema=schema)
+    (line,) = outbound.to_ndjson(outbound.normalize_contract(events)).collect()
+    assert {k: json.loads(line.line)[k] for k in extras} == extras
+    (r,) = outbound.contract_violations(events).collect()
+    assert set(r.asDict()) == {*schema.fieldNames(), "schema_version", "ingest_source", "amount_usd", "contract_reasons"}
+    clash = events.withColumnRenamed("part", "contract_reasons")
+    with pytest.raises(ValueError, match="choose another name"):
+        outbound.contract_violations(clash)
+    assert outbound.contract_violations(clash, "why").collect()[0].why == []
+    (line,) = outbound.to_ndjson(outbound.normalize_contract(clash)).collect()
+    assert json.loads(line.line)["contract_reasons"] == "5"
+    with pytest.raises(ValueError, match="event_id_generated"):
+        outbound.normalize_contract(events.withColumnRenamed("part", "event_id_generated"))
+
+
+def test_open_lines_keep_whatever_they_hold(spark):
+    core = dict(zip(SCHEMA.fieldNames(), VALID))
+    more = {"nested": {"a": [1, {"b": None}], "z": "é\"\\"}, "event_id_generated": "x", "extras": [True], "line": 2.5, "empty": {}, "nothing": None}
+    lines = spark.createDataFrame([(json.dumps(core | more),), (json.dumps(core | {"event_id": "evt-2"}),), ("no json",)], "line string")
+    out = {r.event_id: json.loads(r.line) for r in outbound.to_ndjson(outbound.normalize_contract(outbound.read_open(lines))).collect()}
+    assert set(out) == {"evt-1", "evt-2"}
+    assert {k: out["evt-1"][k] for k in more} == more and not set(more) & set(out["evt-2"])
+    assert list(out["evt-1"])[:9] == list(outbound.CORE_FIELDS)
+
+
+def test_routing_is_the_same_again_and_splits_a_hot_merchant(spark):
+    """However the rows lie: equal partitions, each merchant in one run, ids rising."""
+    rows = spark.range(6000).selectExpr(
+        "concat('e', lpad(cast(id as string), 6, '0')) AS event_id",
+        "CASE WHEN id % 3 > 0 THEN 'hot' WHEN id % 50 = 0 THEN NULL ELSE concat('m', id % 40) END AS merchant_id", "'{}' AS line")
+
+    def routed(df):
+        out = outbound.route_by_merchant(df, 12).withColumn("p", F.spark_partition_id())
+        return {r.event_id: (r.p, r.merchant_id) for r in out.collect()}
+
+    first = routed(rows)
+    assert routed(rows.repartition(7, "line", "event_id")) == first and len(first) == 6000
+    sizes = Counter(p for p, _ in first.values())
+    assert len({p for p, m in first.values() if m == "hot"}) >= 6 and max(sizes.values()) < 2 * 6000 / 12
+    for merchant in {m for _, m in first.values()}:
+        parts = [first[e][0] for e in sorted(first) if first[e][1] == merchant]
+        assert parts == sorted(parts)
+    assert routed(rows.where("false")) == {}
+    assert set(routed(rows.where("event_id = 'e000001'"))) == {"e000001"}
