@@ -58,6 +58,18 @@ def text_chunks(batches: Iterable[pa.RecordBatch], max_chars: int) -> Iterator[p
             yield batch.slice(start)
 
 
+#: bytes of one Arrow batch between Spark and a task's Python, where the session says nothing else
+BATCH_BYTES = 8 * 1024 * 1024
+_BATCH_CONF, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Texts are long: batches of Spark's default size hold ten thousand of them, several
+    times over, in buffers that neither side gives back. A session's own setting stays."""
+    if spark.conf.get(_BATCH_CONF, "") == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
+
+
 def give_back_memory() -> None:
     """What a task's end leaves to the next one: Python workers are used again, and
     what their allocators keep of freed memory counts against the executor."""
@@ -83,4 +95,5 @@ def arrow_map(df: DataFrame, function, schema: str) -> DataFrame:
         finally:
             give_back_memory()
 
+    bound_batches(df.sparkSession)
     return df.mapInArrow(run, schema)
