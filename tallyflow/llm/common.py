@@ -60,13 +60,13 @@ def text_chunks(batches: Iterable[pa.RecordBatch], max_chars: int) -> Iterator[p
 
 #: bytes of one Arrow batch between Spark and a task's Python, where the session says nothing else
 BATCH_BYTES = 8 * 1024 * 1024
-_BATCH_CONF, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def bound_batches(spark: SparkSession) -> None:
     """Texts are long: batches of Spark's default size hold ten thousand of them, several
     times over, in buffers that neither side gives back. A session's own setting stays."""
-    if spark.conf.get(_BATCH_CONF, "") == _BATCH_DEFAULT:
+    if spark.conf.get(_BATCH_CONF, None) is None:
         spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
 
 
