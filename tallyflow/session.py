@@ -77,10 +77,8 @@ def scale_settings(
 
 
 @contextmanager
-def sized_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
-    """Sizing for a run over ``input_bytes``; the session's own values come back after.
-    Inputs below a gigabyte keep the session's values."""
-    wanted = scale_settings(input_bytes) if input_bytes >= 1024 * MiB else {}
+def settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
+    """Session settings for a while; the session's own values come back after."""
     before = {key: spark.conf.get(key, None) for key in wanted}
     for key, value in wanted.items():
         spark.conf.set(key, value)
@@ -91,6 +89,11 @@ def sized_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
+def sized_for(spark: SparkSession, input_bytes: int):
+    """Sizing for a run over ``input_bytes``. Inputs below a gigabyte keep the session's values."""
+    return settings(spark, scale_settings(input_bytes) if input_bytes >= 1024 * MiB else {})
+
+
 def use_utc(spark: SparkSession) -> SparkSession:
     """Pin the session zone to UTC (the pipeline contract) and return the session."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")

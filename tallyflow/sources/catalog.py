@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyflow.plans.pipeline import BRONZE, Warehouse
+from tallyflow.session import settings
 from tallyflow.sources import publish as pub
 from tallyflow.sources.tables import TABLES
 
@@ -84,7 +85,8 @@ class CatalogWarehouse(Warehouse):
         elif not spark.catalog.tableExists(target):
             writer.create()
         else:  # all rows, whatever the session says about partitions
-            df.select(*spark.table(target).columns).write.option("partitionOverwriteMode", "static").insertInto(target, overwrite=True)
+            with settings(spark, {"spark.sql.sources.partitionOverwriteMode": "static"}):
+                df.select(*spark.table(target).columns).write.insertInto(target, overwrite=True)
             pairs = ", ".join(f"'{k}' = '{v}'" for k, v in self.properties(name).items())
             spark.sql(f"ALTER TABLE {target} SET TBLPROPERTIES ({pairs})")
         text = TABLES[name].comment.replace("\\", "\\\\").replace("'", "\\'")
