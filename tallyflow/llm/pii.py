@@ -7,8 +7,10 @@ of "name at host dot org"; any other word is always outside, so it splits a text
 short sequences that are decoded apart with the same result as decoding the whole text.
 Blanks of every kind part words alike, in training as in scanning. Features are the collapsed shapes
 of a word and its two neighbours and a few marks of the word; weights are trained by
-gradient ascent on the small labelled table ``LABELLED``, once on the driver. Tasks
-decode all sequences of a chunk together, by Viterbi over numpy batches.
+gradient ascent on the small labelled table ``LABELLED``, once on the driver. The
+sequences of a text are decoded together, by Viterbi over numpy batches of at most
+``CELLS`` padded words (a longer sequence alone), and a sequence's features are worked
+out ``PIECE`` words at a time: time and memory follow the length of a text.
 
 A tagged run of words is a span of kind ``crf_<label>`` unless it overlaps a base
 span. Defined results: null and empty texts have no spans; repeated rows are tagged
@@ -18,6 +20,9 @@ alike; other columns are ignored.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Iterator
+from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -27,6 +32,8 @@ from tallyflow.llm.spans import Span, scan
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "crf_email", "crf_ip", "crf_card", "crf_phone")
 LABELS = ("out", "email", "ip", "card", "phone")
+#: padded words of a batch to decode, and words whose features are held at once
+CELLS, PIECE = 1 << 16, 4_096
 
 # fixed values: the patterns and limits of the base kinds
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -136,6 +143,7 @@ _SIGNS = re.compile(
 _ENDINGS = frozenset(("com", "org", "net", "edu", "gov", "info", "io", "uk", "de", "fr", "es", "it", "nl", "eu"))
 
 
+@lru_cache(maxsize=20_000)
 def shape(word: str) -> str:
     """Digits by the length of their run (5 for more), letters as x or X, other signs as they are."""
     word = re.sub(r"[0-9]+", lambda m: "0" * min(5, len(m[0])), word)
@@ -182,7 +190,7 @@ def labelled_sequences(table=LABELLED) -> list[tuple[list[list[str]], list[int]]
         for word, label in words:
             labels[at] = label
             at += len(word) + 1
-        out += [(sequence(text, run), [labels[start] for start, _ in run]) for run in signed_runs(text)]
+        out += [(list(sequence(text, run)), [labels[start] for start, _ in run]) for run in signed_runs(text)]
     return out
 
 
@@ -191,6 +199,18 @@ def log_sum(a: np.ndarray, axis: int) -> np.ndarray:
     return (top + np.log(np.exp(a - top).sum(axis=axis, keepdims=True))).squeeze(axis)
 
 
+def grouped(order: list[int], sizes: list[int]) -> Iterator[list[int]]:
+    """Sequences in rising length, as many as stay within ``CELLS`` when padded."""
+    group: list[int] = []
+    for i in order:
+        if group and (len(group) + 1) * sizes[i] > CELLS:
+            yield group
+            group = []
+        group.append(i)
+    if group:
+        yield group
+
+
 class Field:
     """Emission weights by feature and label, transitions, and begin and end weights."""
 
@@ -201,16 +221,21 @@ class Field:
         self.step = np.zeros((k, k))
         self.begin, self.end = np.zeros(k), np.zeros(k)
 
-    def emissions(self, sequence: list[list[str]]) -> np.ndarray:
-        rows = [[self.features[f] for f in word if f in self.features] for word in sequence]
-        return np.array([self.emit[r].sum(axis=0) for r in rows])
+    def emissions(self, sequence: Iterable[list[str]]) -> np.ndarray:
+        """The words' weights by label; the words come one by one."""
+        weights = np.vstack((self.emit, np.zeros(len(LABELS))))  # the last row stands for no known feature
+        none, words, parts = len(self.features), iter(sequence), []
+        while piece := list(islice(words, PIECE)):
+            rows = [[none, *(self.features[f] for f in word if f in self.features)] for word in piece]
+            starts = np.cumsum([0, *map(len, rows[:-1])])
+            parts.append(np.add.reduceat(weights[np.concatenate(rows)], starts, axis=0))
+        return np.concatenate(parts)
 
     def viterbi(self, emissions: list[np.ndarray]) -> list[np.ndarray]:
         """Best labels of many sequences: sorted by length, padded in batches."""
         out: list[np.ndarray] = [np.zeros(0, int)] * len(emissions)
         order = sorted(range(len(emissions)), key=lambda i: len(emissions[i]))
-        for start in range(0, len(order), 256):
-            group = order[start : start + 256]
+        for group in grouped(order, [len(e) for e in emissions]):
             sizes = np.array([len(emissions[i]) for i in group])
             longest = sizes.max()
             padded = np.zeros((len(group), longest, len(LABELS)))
@@ -291,10 +316,10 @@ def neighbour(text: str, at: int, step: int) -> str:
     return words[-1 if step < 0 else 0].strip(_EDGE) if words else ""
 
 
-def sequence(text: str, run: list[tuple[int, int]]) -> list[list[str]]:
+def sequence(text: str, run: list[tuple[int, int]]) -> Iterator[list[str]]:
     """Features of a run's words, among the words beside it."""
     words = [neighbour(text, run[0][0], -1), *(text[s:e].strip(_EDGE) for s, e in run), neighbour(text, run[-1][1], 1)]
-    return [featured(words, i) for i in range(1, len(run) + 1)]
+    return (featured(words, i) for i in range(1, len(run) + 1))
 
 
 def trimmed(text: str, start: int, end: int) -> tuple[int, int]:

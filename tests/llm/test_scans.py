@@ -177,3 +177,31 @@ def test_all_notices_of_a_block_are_found():
     # the longest run of common words fails here, the notice after or before it does not
     assert [w for _, w in kinds(f"Released under the MIT banner. {changed}.")] == [changed]
     assert [w for _, w in kinds(f"{changed}. Released under the MIT banner of it")] == [changed]
+
+
+def test_long_sequences_are_decoded_in_bounded_batches():
+    """Batches by padded words; pieces and batches change no result."""
+    import random
+    import tracemalloc
+
+    from tallyflow.llm import pii
+
+    r = random.Random(1)
+    numbers = lambda n: " ".join(str(r.randint(1, 99_999)) for _ in range(n))
+    long = numbers(20_000) + " x " + " y ".join(numbers(3) for _ in range(255))
+    find = pii.scanner(pii.train())
+    find(numbers(100))
+    tracemalloc.start()
+    whole = find(long)
+    assert tracemalloc.get_traced_memory()[1] < 60_000_000
+    tracemalloc.stop()
+    cells, piece = pii.CELLS, pii.PIECE
+    pii.CELLS, pii.PIECE = 50, 7
+    try:
+        assert pii.scanner(pii.train())(long) == whole
+    finally:
+        pii.CELLS, pii.PIECE = cells, piece
+    sizes = sorted(r.randint(1, 90_000) for _ in range(300))
+    groups = list(pii.grouped(list(range(300)), sizes))
+    assert sum(groups, []) == list(range(300))
+    assert all(len(g) == 1 or len(g) * sizes[g[-1]] <= pii.CELLS for g in groups)
