@@ -1,18 +1,24 @@
 """License scans by conditional compression.
 
 A *block* is the stretch of words around words that license notices use (``CUES``);
-overlapping stretches are one block. Each block is compressed on its own and with
-each notice template as zstandard raw-content dictionary. A template is
-confirmed wherever its words align with the block's words nearly completely and the
-words that name the license and its version agree; every run of common words is tried.
-Of confirmed stretches that overlap, the one with the fewest differing words stays, then
-the largest reduction; the exact differences are reported. A block may hold several
-notices. A stretch without differences needs no reduction.
-
-Defined results: null, empty and cue-less texts have no rows; case and punctuation
-don't count; equal notices in one document each have a row; equal differences
-and reductions go to the longer stretch, then to the first license by name; rows with a null doc_id keep it; other columns are
-ignored. Very long texts cost no more than their blocks.
+overlapping stretches are one block, so a whole license text is one. A block is compressed
+on its own and with each template (the usual headers, the paragraphs of short licenses,
+tags) as zstandard raw-content dictionary. What a template saves is set against what
+it costs by itself: templates that save less than ``SHARE`` of that are out, and the
+``BEST`` that save the largest shares are candidates, in that order. A candidate is
+confirmed by its exact wording: wherever its words align with the block's nearly completely
+and the words that name the license and its version agree. Of the confirmed stretches
+the one with the fewest differing words is taken, then the one with the largest
+reduction; the exact differences are reported. What is left of the block on either side
+is compressed and searched again, until nothing is confirmed: a block may hold many
+notices, and the same one many times. An SPDX tag goes on over "OR", "AND" and "WITH":
+each further identifier has a row.
+
+Defined results: null, empty and cue-less texts and empty tables have no rows; case and
+punctuation don't count; equal notices in one document, and repeated rows, each have
+rows; equal differences and reductions go to the longer stretch, then to the first
+license by name; rows with a null doc_id keep it; other columns are ignored. Very long
+texts cost no more than their blocks.
 """
 
 from __future__ import annotations
@@ -27,26 +33,49 @@ from pyspark.sql import functions as F
 
 from tallyflow.llm.common import arrow_map, text_chunks
 
-AROUND = 40  # words on either side of a cue
+AROUND = 120  # words on either side of a cue, more than any template has
+SHARE = 0.15  # of what a template costs by itself that it must save
+BEST = 40  # candidates whose wording is compared
 LEAST_MATCHED = 0.85  # of a template's words
+LEVEL = 13  # measured: of 3, 13, 16 and 19 the one where a template that is there always saves most
 CHUNK_BYTES = 4_000_000
-CUES = ("license", "licensed", "licence", "licenced", "copyright", "spdx", "permission", "warranty", "redistribution")
+CUES = ("license", "licensed", "licence", "licenced", "copyright", "spdx", "permission", "warranty", "redistribution", "redistributions", "unencumbered")
 # cues by their beginning: tags and short forms are one word, or "CC" and the next one
 CUE_STARTS = ("spdx-", "cc-by")
 
-# fixed values: usual wordings of public license notices
+# fixed values: usual wordings of public license notices, and the paragraphs of short licenses
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
     ("Apache-2.0", "you may not use this file except in compliance with the License"),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
+    ("Apache-2.0", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied"),
     ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("BSD", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer"),
+    ("BSD", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution"),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
     ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3"),
+    ("AGPL-3.0", "it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version"),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2"),
+    ("GPL-2.0", "it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version"),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3"),
     ("GPL-3.0", "either version 3 of the License, or (at your option) any later version"),
+    ("GPL-3.0", "it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version"),
     ("LGPL-2.1", "licensed under the GNU Lesser General Public License, version 2.1"),
+    ("LGPL-2.1", "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version"),
+    ("LGPL-3.0", "licensed under the GNU Lesser General Public License, version 3"),
+    ("LGPL-3.0", "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version"),
     ("MIT", "Released under the MIT License"),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions"),
+    ("MIT", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
+    ("EPL-2.0", "are made available under the terms of the Eclipse Public License 2.0"),
+    ("EPL-2.0", "are made available under the terms of the Eclipse Public License v. 2.0"),
+    ("Unlicense", "This is free and unencumbered software released into the public domain"),
+    ("Unlicense", "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means"),
+    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work"),
+    ("CC0-1.0", "CC0 1.0 Universal (CC0 1.0) Public Domain Dedication"),
 )
 
 # fixed values: the Creative Commons licenses, in words, short and as one tag
@@ -59,21 +88,24 @@ CREATIVE = {
     "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
 }
 for _kind, _words in CREATIVE.items():
-    TEMPLATES += tuple(
-        (f"CC-{_kind}-4.0", text)
-        for text in (
-            f"This work is licensed under a Creative Commons {_words} 4.0 International License",
-            f"Licensed under CC {_kind} 4.0",
-            f"CC {_kind} 4.0",
-            f"CC-{_kind}-4.0",
+    for _version, _scope in (("4.0", "International"), ("3.0", "Unported")):
+        TEMPLATES += tuple(
+            (f"CC-{_kind}-{_version}", text)
+            for text in (
+                f"This work is licensed under a Creative Commons {_words} {_version} {_scope} License",
+                f"Licensed under CC {_kind} {_version}",
+                f"CC {_kind} {_version}",
+                f"CC-{_kind}-{_version}",
+            )
         )
-    )
 # fixed values: SPDX identifiers of the licenses above
 TAGS = {
     "BSD": ("BSD-2-Clause", "BSD-3-Clause"),
-    **{x: (x,) for x in ("Apache-2.0", "MIT", "MPL-2.0", *(f"CC-{k}-4.0" for k in CREATIVE))},
-    **{x: (x, f"{x}-only", f"{x}-or-later") for x in ("AGPL-3.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1")},
+    **{x: (x,) for x in ("Apache-2.0", "MIT", "ISC", "MPL-2.0", "EPL-2.0", "Unlicense", "CC0-1.0", *(f"CC-{k}-{v}" for k in CREATIVE for v in ("4.0", "3.0")))},
+    **{x: (x, f"{x}-only", f"{x}-or-later") for x in ("AGPL-3.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0")},
 }
+IDENTIFIERS = {tag.lower(): name for name, tags in TAGS.items() for tag in tags}
+TAG, JOINTS = "spdx-license-identifier", ("or", "and", "with")
 TEMPLATES += tuple((name, f"SPDX-License-Identifier: {tag}") for name, tags in TAGS.items() for tag in tags)
 
 _WORD = regex.compile(r"[\p{L}\p{N}]+(?:[.-][\p{L}\p{N}]+)*")
@@ -172,37 +204,71 @@ def notices(template: list[str], words: list[str]) -> list[tuple[int, int, int,
     return list(out)
 
 
-def scanner(templates=TEMPLATES, level: int = 3):
-    plain = zstandard.ZstdCompressor(level=level, write_content_size=False)
-    known = []
-    for name, text in templates:
-        words = [w.lower() for w in _WORD.findall(text)]
-        content = zstandard.ZstdCompressionDict(" ".join(words).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        known.append((name, words, zstandard.ZstdCompressor(level=level, dict_data=content, write_content_size=False, write_dict_id=False)))
+class Templates:
+    """The templates' words, and a compressor with each of them as dictionary."""
+
+    def __init__(self, templates=TEMPLATES, level: int = LEVEL):
+        settings = zstandard.ZstdCompressionParameters.from_level(level, source_size=4096, dict_size=512, min_match=3, write_content_size=False, write_dict_id=False)
+        self.plain = zstandard.ZstdCompressor(compression_params=settings)
+        least = self.size("")
+        self.known = []
+        for name, text in templates:
+            words = [w.lower() for w in _WORD.findall(text)]
+            # zstandard indexes no match that begins in a dictionary's last bytes: these are no words
+            content = zstandard.ZstdCompressionDict(" ".join(["", *words, ""]).encode() + bytes(16), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            cost = self.size(" ".join(words)) - least
+            self.known.append((name, words, cost, zstandard.ZstdCompressor(compression_params=settings, dict_data=content)))
+
+    def size(self, text: str, compressor=None) -> int:
+        return len((compressor or self.plain).compress(text.encode("utf-8", "replace")))
+
+    def candidates(self, words: list[str]) -> list[tuple[int, str, list[str]]]:
+        """(bytes saved, name, template) of the templates that save most, best first."""
+        text = " ".join(words)
+        alone = self.size(text)
+        saved = [(alone - self.size(text, compressor), name, template, cost) for name, template, cost, compressor in self.known]
+        near = [(n / cost, n, name, template) for n, name, template, cost in saved if n >= max(1, SHARE * cost)]
+        return [(n, name, template) for _, n, name, template in sorted(near, key=lambda c: (-c[0], -c[1], c[2], len(c[3])))[:BEST]]
+
+
+def further(words: list[str], at: int) -> list[tuple[str, int, int]]:
+    """(license, start, end) of what an SPDX tag's expression goes on with."""
+    out = []
+    while at + 1 < len(words) and words[at] in JOINTS and words[at + 1] in IDENTIFIERS:
+        out.append((IDENTIFIERS[words[at + 1]], at + 1, at + 2))
+        at += 2
+    return out
+
+
+def scanner(templates=TEMPLATES, level: int = LEVEL):
+    known = Templates(templates, level)
+
+    def block_notices(words: list[str]) -> list[tuple[str, int, int, int, int, str]]:
+        """(license, start, end, bytes saved, words matched, differences) in a block."""
+        out, todo = [], [(0, len(words))]
+        while todo:
+            low, high = todo.pop()
+            rest = words[low:high]
+            found = [(n[3], -saved, -n[2], name, n) for saved, name, template in known.candidates(rest) for n in notices(template, rest)]
+            if not found:
+                continue
+            _, saved, _, name, (start, end, matched, _, differences) = min(found)
+            out.append((name, low + start, low + end, -saved, matched, differences))
+            if rest[start] == TAG:
+                for other, a, b in further(rest, end):
+                    out.append((other, low + a, low + b, -saved, 1, ""))
+                    end = b
+            todo += [(low, low + start), (low + end, high)]
+        return out
 
     def scan(text: str) -> list[dict]:
         places = [(m.start(), m.end()) for m in _WORD.finditer(text)]
         words = [text[s:e].lower() for s, e in places]
         out = []
         for low, high in blocks(words):
-            part = words[low:high]
-            bag = Counter(part)
-            # a block without most of a template's words can't hold it
-            near = [(name, n, c) for name, w, c in known if (bag & Counter(w)).total() >= LEAST_MATCHED * len(w) and (n := notices(w, part))]
-            if not near:
-                continue
-            block = " ".join(part).encode("utf-8", "replace")
-            alone = len(plain.compress(block))
-            found = []
-            for name, stretches, compressor in near:
-                size = len(compressor.compress(block)) - alone
-                found += [(n[3], size, -n[2], name, n) for n in stretches if size < 0 or not n[3]]
-            taken = bytearray(len(part))
-            for _, size, _, name, (start, end, matched, _, differences) in sorted(found):
-                if not any(taken[start:end]):
-                    taken[start:end] = b"1" * (end - start)
-                    first, last = places[low + start][0], places[low + end - 1][1]
-                    out.append({"license": name, "start": first, "end": last, "reduction": -size, "matched": matched, "differences": differences})
+            for name, start, end, saved, matched, differences in block_notices(words[low:high]):
+                first, last = places[low + start][0], places[low + end - 1][1]
+                out.append({"license": name, "start": first, "end": last, "reduction": saved, "matched": matched, "differences": differences})
         return sorted(out, key=lambda r: (r["start"], r["license"]))
 
     return scan

@@ -205,3 +205,52 @@ def test_long_sequences_are_decoded_in_bounded_batches():
     groups = list(pii.grouped(list(range(300)), sizes))
     assert sum(groups, []) == list(range(300))
     assert all(len(g) == 1 or len(g) * sizes[g[-1]] <= pii.CELLS for g in groups)
+
+
+def test_full_texts_headers_and_expressions():
+    """What one-sentence templates used to miss."""
+    mit = [t for n, t in license_scan.TEMPLATES if n == "MIT"][2:]
+    whole = "Copyright (c) 2020 Someone. " + ". ".join(mit) + ". THE SOFTWARE IS PROVIDED AS IS."
+    assert [w for _, w in kinds(whole)] == mit and {k for k, _ in kinds(whole)} == {"MIT"}
+    texts = {
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.": ["GPL-2.0"],
+        "This library is free software: you can redistribute it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.": ["LGPL-3.0"],
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.": ["ISC"],
+        "To the extent possible under law, Jane Doe has waived all copyright and related or neighboring rights to this work.": ["CC0-1.0"],
+        "This work is licensed under a Creative Commons Attribution 3.0 Unported License": ["CC-BY-3.0"],
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available there": ["EPL-2.0"],
+        "This is free and unencumbered software released into the public domain.": ["Unlicense"],
+        "SPDX-License-Identifier: ISC": ["ISC"],
+        "// SPDX-License-Identifier: MIT OR Apache-2.0": ["MIT", "Apache-2.0"],
+        "SPDX-License-Identifier: GPL-2.0-only AND BSD-3-Clause": ["GPL-2.0", "BSD"],
+    }
+    assert {t: [k for k, _ in kinds(t)] for t in texts} == texts
+
+
+def test_licenses_come_from_the_compressed_sizes(monkeypatch):
+    """With a compressor that tells templates nothing about the block, nothing is found."""
+    notice = "Some words. This work is licensed under the GNU General Public License, version 2. More words."
+    assert len(kinds(notice)) == 1
+    saved = license_scan.Templates.size
+    monkeypatch.setattr(license_scan.Templates, "size", lambda self, text, compressor=None: saved(self, text) - (compressor is not None))
+    assert kinds(notice) == []
+
+
+def test_every_stretch_of_a_block_against_all_templates():
+    """Brute force: any stretch whose words are a template's, exactly, is found or overlaps
+    one that is; what is found without differences is a template word for word."""
+    r = random.Random(8)
+    lists = [(n, [w.lower() for w in license_scan._WORD.findall(t)]) for n, t in license_scan.TEMPLATES]
+    filler = "the code of a public work is free for all and any later version copyright license".split()
+    for _ in range(60):
+        chosen = r.sample(lists, r.randint(1, 3))
+        words = [w for n, t in chosen for w in [*(r.choice(filler) for _ in range(r.randint(3, 30))), *t]] + ["end"]
+        text = " ".join(words)
+        got = [(x["license"], len(text[: x["start"]].split()), len(text[: x["end"]].split()), x["differences"]) for x in license_scan.scanner()(text)]
+        for name, template in lists:
+            for at in range(len(words) - len(template) + 1):
+                if words[at : at + len(template)] == template:
+                    assert any(s < at + len(template) and at < e for _, s, e, _ in got), (name, template, got)
+        for name, start, end, differences in got:
+            if not differences:
+                assert (name, words[start:end]) in lists or words[start - 1] in license_scan.JOINTS
