@@ -42,11 +42,11 @@ WHITE = r"\t-\r\x20\x85\xa0  -     　"
 #: the tokenizer file's split pattern is read from the file; its characters' bytes
 #: are written with this printable alphabet (byte-level rule: printable bytes stand
 #: for themselves, the others follow from 256 on)
-CACHE_BYTES = 48_000_000
+CACHE_BYTES = 128_000_000
 #: about what an entry of the cache of runs takes besides its texts
 ENTRY_BYTES = 300
-CACHE_PAIRS = 250_000
-CHUNK_BYTES = 2_000_000
+CACHE_PAIRS = 500_000
+CHUNK_BYTES = 4_000_000
 NEVER = 1 << 60
 
 
