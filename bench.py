@@ -119,7 +119,7 @@ def main() -> None:
         },
     )
     results: dict[str, float] = {}
-    build: dict[str, list[float]] = {}
+    building: dict[str, list[float]] = {}
     if SOURCE == "bronze":
         use_written_source(spark)
 
@@ -151,7 +151,7 @@ def main() -> None:
         def query(k=key):
             t = time.perf_counter()
             df = QUERIES[k](spark, SF_DIR)
-            build.setdefault(f"e2e_{k}", []).append(time.perf_counter() - t)
+            building.setdefault(f"e2e_{k}", []).append(time.perf_counter() - t)
             run(df)
 
         results[f"e2e_{key}"] = timed(query)[0]
@@ -180,7 +180,7 @@ def main() -> None:
                 "value": total,
                 "unit": "sec",
                 "queries": {k: round(v, 3) for k, v in results.items()},
-                "build": {k: round(statistics.median(v[1:]), 3) for k, v in build.items()},
+                "build": {k: round(statistics.median(v[1:]), 3) for k, v in building.items()},
                 "source": SOURCE,
                 "sf": _sf_label(SF_DIR),
                 "cpus": int(CPUS),
