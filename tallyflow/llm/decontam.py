@@ -124,7 +124,8 @@ def matches(
     both = both.withColumn("same", F.zip_with("part", own, lambda x, y: (x == y).cast("int")))
     total = lambda a: F.aggregate(a, F.lit(0), lambda s, x: s + x)
     size = F.least(F.col("n"), F.lit(stretch))
-    starts = F.sequence(F.lit(1), F.size("same") - size + 1)
+    # filters may be tried in any order: a stretch that is too short must not fail here
+    starts = F.sequence(F.lit(1), F.greatest(F.size("same") - size + 1, F.lit(1)))
     good = F.exists(starts, lambda s: total(F.slice("same", s, size)) * 100 >= size * percent)
     both = both.where(F.size("same") >= size).where(good)
     return both.select("doc_id", "mark", "item_id", "at", total(F.col("same")).alias("matched"), F.col("n").alias("item_tokens"))
