@@ -137,3 +137,80 @@ def test_search_of_empty_tables(docs_of):
     ask = lambda d: d.selectExpr("doc_id as query_id", "text")
     assert search.search(none, ask(docs)).collect() == []
     assert search.search(docs, ask(none)).collect() == []
+
+
+def test_search_queries_are_not_sent_to_ever_more_shards():
+    assert search.shard_count(5) == 1
+    assert search.shard_count(51_282) == search.shard_count(256_410) == search.MIN_SHARDS
+    assert search.shard_count(15_000_000) == -(-15_000_000 // search.SHARD_DOCS)
+    assert search.shard_count(65, 7) == 10
+
+
+def test_search_packs_queries():
+    rng = np.random.default_rng(2)
+    terms = [np.unique(rng.integers(0, 500, 200)) * 2**50 for _ in range(300)]
+    counts, df = [rng.integers(1, 400, len(t)) for t in terms], [t // 2**50 + 1 for t in terms]
+    packed = search.pack(list(range(300)), terms, counts, df)
+    assert len(packed) < sum(len(t) for t in terms) * 16 / 4  # pairs of term and weight took 16 bytes
+    asked = search.QueryBlock(packed, 1000)
+    found = {(int(q), int(asked.terms[t])): w for t in range(len(asked.terms)) for q, w in zip(asked.query[asked.start[t] : asked.start[t + 1]], asked.weight[asked.start[t] : asked.start[t + 1]])}
+    want = {(q, int(t)): c * math.log(1 + (1000 - d + 0.5) / (d + 0.5)) for q in range(300) for t, c, d in zip(terms[q], counts[q], df[q])}
+    assert found.keys() == want.keys() and all(math.isclose(found[x], want[x], rel_tol=1e-12) for x in want)
+
+
+@pytest.mark.parametrize(("frequent", "block"), [(1, 256), (1, 4), (10**9, 4), (4, 16)])
+def test_search_in_blocks_equals_scoring_everything(monkeypatch, frequent, block):
+    """Terms on either side of the line between rare and frequent, copies, ties and pruned blocks."""
+    monkeypatch.setattr(search, "FREQUENT", frequent)
+    monkeypatch.setattr(search, "BLOCK", block)
+    monkeypatch.setattr(search, "PIECE_DOCS", 50)
+    rng = np.random.default_rng(3)
+    texts = {}
+    for i in range(160):  # three vocabularies
+        words = [f"{'abc'[i % 3]}{j}" for j in np.minimum(rng.zipf(1.4, rng.integers(1, 60)), 90)]
+        texts[i] = " ".join(words)
+    texts |= {200 + i: texts[i % 4] for i in range(40)} | {300: "", 301: None, 302: "É-é x_1", 303: "é 1"}
+    vectors = dict(zip(texts, search.terms_of(list(texts.values()))))
+    mean = sum(v[2] for v in vectors.values()) / len(vectors)
+    df = {}
+    for v in vectors.values():
+        for t in v[0].tolist():
+            df[t] = df.get(t, 0) + 1
+    shard = search.Shard(mean, len(texts), 7)
+    for i, v in vectors.items():
+        shard.add(i, v)
+    asked = [(i, v[0], v[1], np.array([df[t] for t in v[0].tolist()])) for i, v in vectors.items() if len(v[0])]
+    got = {}
+    for q, d, _ in zip(*(x.tolist() for x in shard.top(search.pack(*zip(*asked))))):
+        got.setdefault(q, []).append(d)
+    assert got == {q: d for q, d in plain_bm25(texts, 7).items() if d}
+
+
+def test_search_skips_blocks_that_cannot_reach(monkeypatch):
+    """One block of documents that share all words with the query, others only a frequent one."""
+    monkeypatch.setattr(search, "BLOCK", 8)
+    texts = ["all q r s " + "q " * i for i in range(8)] + [f"all x{i % 9} y{i % 9} z" for i in range(56)]
+    vectors = search.terms_of(texts)
+    shard = search.Shard(5.0, 64, 3)
+    for i, v in enumerate(vectors):
+        shard.add(i, v)
+    shard.close()
+    df = {t: sum(t in v[0] for v in vectors) for t in vectors[0][0].tolist()}
+    asked = search.QueryBlock(search.pack([9], [vectors[0][0]], [vectors[0][1]], [np.array([df[t] for t in vectors[0][0].tolist()])]), 64)
+    row_of = np.full(len(shard.vocabulary.terms), -1, np.int32)
+    row_of[shard.vocabulary.find(asked.terms)] = np.arange(len(asked.terms))
+    best = search.Best(1, 3)
+    for piece in shard.pieces:
+        piece.search(asked, row_of, best)
+    assert len(set(best.ids[0].tolist()) & set(range(8))) == 3
+    assert best.scored < 64
+
+
+def test_search_words_are_runs_of_letters_and_digits():
+    texts = ["A_b-c d\x00e\tf 1.2", "x²ⅷ½ İstanbul ΑΣ ǅ", "日本語 テスト。123", "".join(map(chr, range(0x80, 0x3000))), "é", "…"]
+    for text in texts:
+        words = [w if isinstance(w, str) else w.decode() for w in search.words_of(text) if w]
+        assert words == regex.findall(r"[\p{L}\p{N}]+", text.lower())
+    # the same words hash alike in ASCII texts and others
+    (plain, *_), (other, *_) = search.terms_of(["ab c", "ab c é"])
+    assert set(plain.tolist()) < set(other.tolist())
