@@ -214,3 +214,17 @@ def test_search_words_are_runs_of_letters_and_digits():
     # the same words hash alike in ASCII texts and others
     (plain, *_), (other, *_) = search.terms_of(["ab c", "ab c é"])
     assert set(plain.tolist()) < set(other.tolist())
+
+
+def test_search_in_a_shard_without_words():
+    words, empty = search.terms_of(["a b", ""])
+    packed = search.pack([1], [words[0]], [words[1]], [np.array([1, 1])])
+    for vectors in ([], [empty], [empty, empty]):
+        shard = search.Shard(1.0, 3, 10)
+        for i, v in enumerate(vectors):
+            shard.add(i, v)
+        assert [x.tolist() for x in shard.top(packed)] == [[], [], []]
+    shard = search.Shard(1.0, 3, 10)
+    for i, v in enumerate([empty, words]):
+        shard.add(i, v)
+    assert shard.top(packed)[1].tolist() == [1]
